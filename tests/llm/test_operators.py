@@ -1,0 +1,381 @@
+"""The ten operators: edge cases, and brute force, round trips or held-out accuracy."""
+
+import collections
+import hashlib
+import html
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from strandline.llm import bpe, graph, langid, mixing, passages, pivot_search, prefix_hash, queries, simhash, surrogates, toxicity, wrappers
+
+SF = "/root/testdata/sf0.001"
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+LONG = "Lorem ipsum dolor sit amet. " * 20_000
+EDGE = [(1, "Hello world, hello", "en", "a", 18), (1, "Hello world, hello", "en", "a", 18), (2, "", "en", "a", 0), (3, None, None, None, None), (None, "no id 4111111111111111", "de", None, 3), (None, None, None, None, None), (4, LONG, "en", "b", len(LONG)), (5, "###  \n\t 12", "fr", "b", 9), (6, "日本語 ʻtext <|endoftext|> x@y.example.com", "xx", "c", 1)]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    clash = {c: F.lit("x") for c in ("node", "fp", "score", "copy", "shuffle_key", "key", "cls", "seed", "n_entities", "to", "tail", "m", "held_out", "range", "component_id", "rank")}
+    return spark.createDataFrame(EDGE, SCHEMA).withColumns(clash)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def texts(df):
+    return {r["doc_id"]: r["text"] or "" for r in df.select("doc_id", "text").collect()}
+
+
+# Substring dedup
+
+
+def test_passages(spark):
+    rng = np.random.default_rng(3)
+    word = lambda: "w" + str(rng.integers(0, 5000))
+    shared = [word() for _ in range(70)]
+    fuzzy = [w if i % 15 else "zz" for i, w in enumerate(shared)]
+    make = lambda mid: " ".join([*(word() for _ in range(80)), *mid, *(word() for _ in range(60))])
+    rows = [(1, make(shared)), (2, make(fuzzy)), (3, make([])), (4, "short text"), (5, "short text"), (8, None), (9, "")]
+    rows += [(6, rows[2][1]), (7, rows[2][1]), (10, " ".join(["again"] * 90)), (11, "other start " + " ".join(["again"] * 80))]
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    pairs = {frozenset((r["doc_id"], r["partner_id"])): r for r in out}
+    assert set(pairs) == {frozenset((1, 2)), frozenset((3, 6)), frozenset((3, 7)), frozenset((10, 11))}
+    found = pairs[frozenset((1, 2))]
+    assert 66 <= found["n_words"] <= 74 and found["same_words"] >= 62
+    side = dict(rows)[found["doc_id"]][found["begin"] : found["end"]].split()
+    assert len(set(side) & set(shared)) >= 62
+
+
+def test_chain_is_best():
+    a, b = np.array([0, 5, 10, 20, 30]), np.array([100, 105, 7, 120, 130])
+    assert passages.chains(a, b)[0] == [0, 1, 3, 4]
+
+
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60)), min_size=2, max_size=25, unique=True))
+@settings(max_examples=60, deadline=None)
+def test_chain_score_against_all_pairs(points):
+    a, b = np.array(points).T
+    order = sorted(range(len(a)), key=lambda i: (a[i], b[i]))
+    f = {}
+    for i in order:
+        f[i] = 5 + max([0.0] + [f[j] - 0.05 * (a[i] - a[j] + b[i] - b[j]) for j in f if a[j] < a[i] and b[j] < b[i]])
+    found = passages.chains(a, b)
+    if found:
+        c = found[0]
+        score = 5 * len(c) - sum(0.05 * (a[y] - a[x] + b[y] - b[x]) for x, y in zip(c, c[1:]))
+        assert abs(score - max(f.values())) < 1e-9
+
+
+# Mixing
+
+
+def test_mixing(spark, edge):
+    out = mixing.mix_sources(edge.where("doc_id is not null"), weights={"a": 3.0, "b": 1.0}, total=4000)
+    by = {r["source"]: r["count"] for r in out.groupBy("source").count().collect()}
+    assert set(by) == {"a", "b"} and 2500 < by["a"] < 3500 and 800 < by["b"] < 1200
+    assert out.columns[-2:] == ["copy", "shuffle_key"] and out.agg(F.max("shuffle_key")).first()[0] < 1
+    assert mixing.mix_sources(edge.limit(0)).count() == 0
+    assert mixing.mix_sources(edge).count() >= 0
+
+
+def test_mixing_rates(spark):
+    df = spark.range(20_000).selectExpr("id as doc_id", "if(id % 4 = 0, 'x', 'y') as source")
+    n = {r["source"]: r["count"] for r in mixing.mix_sources(df, {"x": 1, "y": 1}).groupBy("source").count().collect()}
+    assert abs(n["x"] - 10_000) < 400 and abs(n["y"] - 10_000) < 400
+    spread = mixing.mix_sources(df, {"x": 1, "y": 0}).groupBy("doc_id").count().groupBy("count").count().collect()
+    assert max(r[0] for r in spread) > 6  # Poisson with mean 4 over 5000 documents
+
+
+# SimHash
+
+
+def brute_components(fps, ids, distance):
+    label = {f: f for f in fps}
+    def root(f):
+        while label[f] != f:
+            f = label[f]
+        return f
+    u = sorted(set(fps))
+    for i, x in enumerate(u):
+        for y in u[:i]:
+            if bin(x ^ y).count("1") <= distance:
+                label[root(x)] = root(y)
+    least = {}
+    for f, i in zip(fps, ids):
+        if i is not None:
+            least[root(f)] = min(least.get(root(f), i), i)
+    return [least.get(root(f)) for f in fps]
+
+
+def plain_fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [" ".join(words)] if words else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_groups(spark, docs, edge):
+    near = spark.createDataFrame([(900 + i, " ".join(f"t{j}" for j in range(400)) + f" end{i}") for i in range(6)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").unionByName(near).unionByName(edge.select("doc_id", "text").where("length(text) < 1000 or text is null"))
+    out = simhash.near_duplicate_groups(rows)
+    got = sorted(((r["doc_id"], r["fingerprint"], r["component_id"]) for r in out.collect()), key=repr)
+    every = rows.collect()
+    fps = [plain_fingerprint(r["text"]) for r in every]
+    want = brute_components(fps, [r["doc_id"] for r in every], 2)
+    assert got == sorted(((r["doc_id"], f"{f:016x}", c) for r, f, c in zip(every, fps, want)), key=repr)
+    assert simhash.near_duplicate_groups(rows.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bits,distance", [(64, 2), (128, 23)])
+def test_links_through_hot_buckets(spark, bits, distance):
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2, (5, bits))
+    flipped = [b ^ (rng.random(bits) < (0.01 if bits == 64 else 0.04)) for b in base for _ in range(30)]
+    values = sorted({int("".join(map(str, v.astype(int))), 2) for v in [*flipped, *rng.integers(0, 2, (100, bits))]})
+    cols = simhash.parts_of(bits)
+    signed = lambda v: [x - (1 << 64) if x >> 63 else x for x in (v >> 64 * (len(cols) - 1 - i) & (1 << 64) - 1 for i in range(len(cols)))]
+    df = spark.createDataFrame([tuple(signed(v)) for v in values], ", ".join(f"{c} long" for c in cols))
+    numbers = [r[0] for r in df.select(simhash.node(cols)).collect()]
+    found = {r["node"]: r["root"] for r in graph.connected_components(simhash.links(df, bits, distance, bucket_limit=8)).collect()}
+    got = collections.defaultdict(set)
+    for v, n in zip(values, numbers):
+        got[found.get(n, n)].add(v)
+    want = collections.defaultdict(set)
+    for v, c in zip(values, brute_components(values, list(range(len(values))), distance)):
+        want[c].add(v)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_thresholds_cover_the_distance():
+    for n in (100, 10**6, 10**10):
+        for bits, d in ((64, 2), (64, 6), (128, 23)):
+            plan = simhash.plan_partitions(n, np.full((bits, bits), n / 4) + np.eye(bits) * n / 4, d)
+            assert sum(t + 1 for _, t in plan) == d + 1
+            used = [b for g, _ in plan for b in g]
+            assert len(used) == len(set(used))
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 2000 + i) for i in range(200)] + [(5, 5)]
+    found = {r["node"]: r["root"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert len({found[i] for i in range(201)}) == 1 and len({found[2000 + i] for i in range(200)} | {found[1000]}) == 1 and found[0] != found[1000]
+
+
+def test_keep_one(spark):
+    base = " ".join(f"word{i}" for i in range(300))
+    rows = [(3, base), (1, base + " tail"), (7, base), (7, base), (9, "something else entirely here"), (None, None)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0) for r in kept) == [0, 1, 9]
+
+
+# Toxicity
+
+
+def test_marginals_by_enumeration():
+    rng = np.random.default_rng(2)
+    odds, first = rng.normal(0, 2, 7), np.array([1, 0, 0, 0, 1, 0, 0], bool)
+    start, step = rng.normal(0, 1, 2), rng.normal(0, 1, (2, 2))
+    p, pairs, log_z = toxicity.marginals(odds, first, start, step)
+    weights = {}
+    for tags in np.ndindex(*[2] * 7):
+        weights[tags] = np.exp(sum(odds[t] * tags[t] + (start[tags[t]] if first[t] else step[tags[t - 1], tags[t]]) for t in range(7)))
+    z = sum(weights.values())
+    assert np.allclose(p, [sum(w for t, w in weights.items() if t[i]) / z for i in range(7)]) and np.isclose(np.log(z), log_z) and np.isclose(pairs.sum(), 5)
+
+
+def test_toxicity_held_out(spark):
+    out = queries.op4_toxicity(spark, "/root/testdata/sf0.01")
+    found = out.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("held_out").collect()
+    assert np.mean([r["predicted"] == r["toxic"] for r in found]) > 0.9
+    assert {r["held_out"] for r in out.collect()} == {True, False} and out.count() == 1000
+
+
+def test_toxicity_edges(spark, edge):
+    labels = spark.createDataFrame([(1, 1), (4, 0), (None, 1), (5, None)], "doc_id long, toxic int")
+    model = toxicity.train(edge, labels)
+    assert toxicity.score_documents(edge, model).count() == len(EDGE)
+    assert toxicity.score_documents(edge.limit(0), toxicity.train(edge.limit(0), labels.limit(0))).count() == 0
+    assert all(0 <= r["score"] <= 1 for r in toxicity.score_documents(edge, model).collect())
+
+
+# PII
+
+
+def test_surrogates(spark, edge):
+    rows = [(1, "mail jo.98@mail5.example.com or JO.98@MAIL5.EXAMPLE.COM!!"), (2, "call +1 (017) 555-7713 or +10175557713; card 4111111111111111, 4111-1111-1111-1111"), (3, "Mr. John Smith met Mrs Anna Smith. Mr Smith left. Господин Иванов"), (4, None), (5, ""), (6, 'token = "f91f2b873bc89b9c5b8b3a486adf32c8523be758" 97.51.17.173'), (1, "jo.98@mail5.example.com")]
+    out = collections.defaultdict(list)
+    for r in surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        out[r["doc_id"]].append(r["text"])
+    a, b = re.findall(r"\S+@\S+?\.com", "\n".join(sorted(out[1], key=len)), re.I)[0], re.findall(r"\S+@\S+?\.COM", "\n".join(out[1]))[0]
+    assert a.lower() == b.lower() != "jo.98@mail5.example.com" and len(a) == len("jo.98@mail5.example.com")
+    digits = re.findall(r"card (\d{16}), ([\d-]{19})", out[2][0])[0]
+    assert digits[0] == digits[1].replace("-", "") and digits[0] != "4" + "1" * 15
+    assert sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(reversed(digits[0]))) % 10 == 0
+    names = re.findall(r"Mr\. (\w+) (\w+) met Mrs (\w+) (\w+)\. Mr (\w+) left", out[3][0])[0]
+    assert names[1] == names[3] == names[4] != "Smith" and re.search("[а-я]", out[3][0].split()[-1])
+    assert out[4] == [None] and out[5] == [""] and "f91f2b87" not in out[6][0] and "97.51" not in out[6][0]
+    assert surrogates.replace_pii(edge).count() == len(EDGE) and surrogates.replace_pii(edge.limit(0)).count() == 0
+
+
+def test_surrogates_stay_distinct(spark):
+    names = spark.range(3000).selectExpr("'ip' as kind", "concat('9.8.', id % 10, '.', id div 10 % 10) as norm").distinct()
+    out = surrogates.distinct_surrogates(names, "k").collect()
+    real = {r["norm"] for r in out}
+    assert len({r["s"] for r in out}) == len(out) == 100 and not {r["s"] for r in out} & real
+
+
+# Fingerprints
+
+
+@given(st.text(alphabet="abé😀", max_size=40), st.text(alphabet="abé😀", max_size=40))
+@settings(max_examples=80, deadline=None)
+def test_extensions(a, b):
+    x, y = prefix_hash.PrefixHashes.of(a), prefix_hash.PrefixHashes.of(b)
+    for i in range(0, len(a) + 1, 7):
+        for j in range(0, len(b) + 1, 5):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            assert x.extension(i, y, j) == n
+            n = 0
+            while n < min(i, j) and a[i - n - 1] == b[j - n - 1]:
+                n += 1
+            assert x.extension_back(i, y, j) == n
+    assert (x.fingerprint() == y.fingerprint()) == (a == b)
+
+
+@pytest.mark.parametrize("size", [1 << 30, 20_000])
+def test_edits(spark, docs, edge, monkeypatch, size):
+    monkeypatch.setattr(prefix_hash, "RANGE_BYTES", size)
+    rows = sorted(texts(docs).items(), reverse=True)
+    got = {r["doc_id"]: r for r in prefix_hash.with_edits(docs).collect()}
+    for (i, t), (_, u) in zip(rows, rows[1:] + rows[:1]):
+        n = len(t)
+        edited = t[: n - n // 3] + u[: n // 3]
+        assert got[i]["n_chars"] == n and got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert got[i]["near_edited"] >= (n - n // 3) / max(n, 1) - 1e-9
+    assert prefix_hash.with_edits(edge).count() == len(EDGE) and prefix_hash.with_edits(edge.limit(0)).count() == 0
+    assert prefix_hash.with_edits(edge.where("doc_id = 4")).first()["near_next"] == 1.0
+
+
+# Language
+
+
+def test_gru_slopes():
+    rng = np.random.default_rng(0)
+    model = langid.ByteGru(["a", "b"])
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    x, y, w = rng.integers(0, 256, (5, 3)).astype(np.uint8), np.array([0, 1, 1]), np.ones((5, 3))
+    _, g = model.slopes(x, y, w)
+    for name, at in (("u", (0, 1, 2)), ("u", (1, 3, 20)), ("v", (3, 1)), ("table", (1, int(x[2, 1]), 20))):
+        sides = []
+        for e in (1e-4, -1e-4):
+            model.p[name][at] += e
+            sides.append(model.slopes(x, y, w)[0])
+            model.p[name][at] -= e
+        assert abs((sides[0] - sides[1]) / 2e-4 - g[name][at]) < 1e-4
+
+
+def test_language_held_out(spark):
+    out = queries.op7_language(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    assert len(out) == 1000 and np.mean([r["lang"] == r["lang_pred"] for r in out if r["held_out"]]) > 0.97
+
+
+def test_language_edges(spark, edge):
+    model = langid.train(edge)
+    got = {r["doc_id"]: r for r in langid.identify(edge, model).collect()}
+    assert got[5]["lang_pred"] == got[2]["lang_pred"] == got[3]["lang_pred"] == "und" and got[4]["lang_pred"] in model.langs
+    assert langid.identify(edge.limit(0), langid.train(edge.limit(0))).count() == 0
+
+
+# HTML
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head><body><header><p>Site</p></header><nav><ul><li><a href="/">Home</a></li><li>B</li></ul></nav>
+<div class="cookie-notice">We use cookies</div><!-- x --><article><header><h1>{h}</h1></header><p>One &amp; <b>two</b>&nbsp; three<br>four</p>{more}<form><p>Name</p></form><div class="comments"><p>First!</p></div></article><aside>Side</aside><footer>F</footer></body></html>"""
+
+
+def test_main_text(spark):
+    rows = [(1, "http://a.example/1", PAGE.format(h="A", more="")), (2, "http://a.example/2", PAGE.format(h="B", more="<p>x</p><ul><li>i<li>j</ul>")), (3, "http://b.example/1", "<div class=post><p>Only</p></div><div class=ads>buy</div>"), (4, None, None), (5, "x", ""), (6, "http://c.example", "plain < text"), (6, "http://c.example", "plain < text"), (7, "http://d.example", "<div>" * 300 + "deep"), (None, None, "<p>nobody")]
+    got = collections.defaultdict(list)
+    for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        got[r["page_id"]].append(r["text"])
+        assert r["n_chars"] == len(r["text"])
+    assert got[1] == ["A\nOne & two three four"] and got[2] == ["B\nOne & two three four\nx\ni\nj"]
+    assert got[3] == ["Only"] and got[4] == got[5] == [""] and got[6] == ["plain < text"] * 2 and got[7] == ["deep"] and got[None] == ["nobody"]
+    assert wrappers.extract(spark.createDataFrame(rows[:0], "page_id long, url string, html string")).count() == 0
+
+
+def test_main_text_of_the_table(spark, monkeypatch):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        body = re.search(r"<article>(.*?)(?:</article>|\Z)", r["html"], re.S)[1]
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " ")))).strip() for b in re.split(r"</?(?:p|h1)>", body)]
+        want[r["page_id"]] = "\n".join(b for b in blocks if b)
+    assert {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()} == want
+    monkeypatch.setattr(wrappers, "BROADCAST_HOSTS", 1)
+    assert {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()} == want
+
+
+# Search
+
+
+def test_top_k_matches_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    got = pivot_search.top_k(spark.read.parquet(f"{SF}/embeddings.parquet"))
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({pivot_search.ORACLE_SQL})").fetchall())
+
+
+def test_top_k_edges(spark):
+    nan = float("nan")
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [None, 1.0]), (None, [1.0, 1.0]), (50, [0.5, 0.5]), (7, [1e6, -1e6]), (8, [1.0])]
+    got = pivot_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    by = collections.defaultdict(list)
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        by[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert by[0] == [(7, 256 * 256_000_000), (1, 65536), (2, 65536), (50, 32768)] and [v for v, _ in by[50]] == [0, 1, 2, 7]
+    assert pivot_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+# BPE
+
+
+def test_bpe(spark, docs, edge):
+    library = Tokenizer.from_file(PATH)
+    rows = docs.select("doc_id", "text").unionByName(edge.select("doc_id", "text")).collect()
+    coded = bpe.encoder_for(PATH).encode_many([r["text"] or "" for r in rows])
+    for r, (ids, back) in zip(rows, coded):
+        e = library.encode(r["text"] or "", add_special_tokens=False)
+        assert ids == ",".join(map(str, e.ids)) and back == library.decode(e.ids, skip_special_tokens=False)
+    out = bpe.encode_documents(edge, PATH).collect()
+    assert len(out) == len(EDGE) and all(r["n_tokens"] == len(r["token_ids"]) for r in out)
+    assert [r["n_tokens"] for r in out if r["doc_id"] in (2, 3)] == [0, 0] and bpe.encode_documents(edge.limit(0), PATH).count() == 0
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=150, deadline=None)
+def test_bpe_any_text(text):
+    e = Tokenizer.from_file(PATH) if not hasattr(test_bpe_any_text, "t") else test_bpe_any_text.t
+    test_bpe_any_text.t = e
+    assert bpe.encoder_for(PATH).encode_many([text])[0][0] == ",".join(map(str, e.encode(text, add_special_tokens=False).ids))
+
+
+def test_fold_rule(spark):
+    rows = spark.range(50).select("id", queries.crc_fold("id", 4).alias("f")).collect()
+    assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 4 for r in rows)
