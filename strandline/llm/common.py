@@ -46,6 +46,14 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def text_bytes(df: DataFrame, column: str) -> int:
+    """The size of a text column: Spark's estimate, or where it has none (no file below) a count of characters."""
+    size = plan_bytes(df.select(column))
+    if size < 1 << 60:
+        return size
+    return int(df.agg(F.coalesce(F.sum(F.length(column)), F.lit(0))).first()[0])
+
+
 def crc_fold(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo: the fold rule of the learning operators (null id: null)."""
     return F.crc32(F.col(column).cast("string")) % F.lit(modulus)

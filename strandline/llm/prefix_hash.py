@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plan_bytes
+from .common import text_bytes
 
 PRIME = (1 << 31) - 1
 BASES = (1_047_296_809, 786_433_001)
@@ -133,7 +133,7 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     from pyspark.ml.feature import Bucketizer  # a binary search over the bounds, in the JVM; not needed on executors
 
     ids = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("key"))
-    parts = max(1, math.ceil(plan_bytes(docs.select(text_col)) / RANGE_BYTES))
+    parts = max(1, math.ceil(text_bytes(docs, text_col) / RANGE_BYTES))
     bounds: list[float] = []
     if parts > 1:
         found = ids.agg(F.percentile_approx("key", [k / parts for k in range(1, parts)], 20 * parts).alias("b")).first()["b"] or []

@@ -156,7 +156,8 @@ def masks(bits: int, chosen) -> list[int]:
 
 
 def distance_between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int16)
+    # As unsigned numbers: of a negative one, numpy counts the bits of its absolute value.
+    return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=-1, dtype=np.int16)
 
 
 def within_bucket(values: np.ndarray, distance: int) -> np.ndarray:
