@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"\w+")
-BUCKETS, SEGMENT, SLICE_CHARS = 1 << 16, 128, 1 << 20
+BUCKETS, SEGMENT, SLICE_CHARS, SLICE_TOKENS = 1 << 16, 128, 1 << 20, 1 << 17
 #: Bounds of training: labelled rows of each class, characters of a text, and documents the CRF itself sees of each class.
 CLASS_ROWS, TRAIN_CHARS, CRF_ROWS, STEPS = 1500, 20_000, 400, 30
 
@@ -162,47 +162,67 @@ class Odds(dict):
         return value
 
 
+def slices(sizes: np.ndarray, most: int = SLICE_TOKENS) -> Iterator[tuple[int, int]]:
+    """Runs of documents, from and to, of at most `most` tokens together or of one document."""
+    begin, total = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > begin and total + n > most:
+            yield begin, i
+            begin, total = i, 0
+        total += n
+    if len(sizes):
+        yield begin, len(sizes)
+
+
 def fit(texts: list[str], toxic: list[int], share: float) -> ToxicModel:
     """share: that of toxic rows among all labelled ones; the sample itself holds as many of each class as there are."""
     blank = lambda curve: ToxicModel(np.zeros(BUCKETS), np.zeros(2), np.zeros((2, 2)), np.array(curve), [])
     y = np.array(toxic, int)
     if not len(y) or y.min() == y.max():
         return blank([30.0 if len(y) and y[0] else -30.0, 0.0, 0.0, 0.0])
-    tokens = [TOKEN.findall(t.lower()) for t in texts]
-    words_of = [set(t) for t in tokens]
-    marks_of = [{m for w in words for m in markers(w)} for words in words_of]
-    counts, sizes = (Counter(), Counter()), [0, 0]
-    for marks, label in zip(marks_of, toxic):
-        if label == 0:
-            sizes[0] += 1
-            counts[0].update(marks)
-    by_group: dict[int, set[str]] = {}
-    bad = [i for i, label in enumerate(toxic) if label == 1]
-    for i, g in zip(bad, copy_groups([words_of[i] for i in bad])):
-        by_group.setdefault(g, set()).update(marks_of[i])
+    # Texts are held as numbers of words from here on, and what is not is built a document or a slice at a time.
+    vocabulary: dict[str, int] = {}
+    raw = [np.fromiter((vocabulary.setdefault(m[0], len(vocabulary)) for m in TOKEN.finditer(t)), np.int32) for t in texts]
+    own = [np.unique(r) for r in raw]
+    low = [w.lower() for w in vocabulary]
+    marks: dict[str, int] = {}
+    marks_of = [[marks.setdefault(m, len(marks)) for m in markers(w)] for w in low]
+    marks_in = lambda rows: list({m for i in rows for w in own[i].tolist() for m in marks_of[w]})
+    counts, sizes = np.zeros((2, len(marks)), np.int64), [0, 0]
+    for i in np.flatnonzero(y == 0).tolist():
+        sizes[0] += 1
+        counts[0, marks_in([i])] += 1
+    by_group: dict[int, list[int]] = {}
+    bad = np.flatnonzero(y == 1).tolist()
+    for i, g in zip(bad, copy_groups([{low[w] for w in own[i].tolist()} for i in bad])):
+        by_group.setdefault(g, []).append(i)
     sizes[1] = len(by_group)
-    for marks in by_group.values():
-        counts[1].update(marks)
+    for rows in by_group.values():
+        counts[1, marks_in(rows)] += 1
     # Log-likelihood ratio of a word's share in either class, against chance over all words tried.
     def ratio(c1: int, c0: int) -> float:
         share_all = (c1 + c0) / (sizes[0] + sizes[1])
         part = lambda k, n: k * np.log(k / n / share_all) if k else 0.0
         return 2 * float(part(c1, sizes[1]) + part(c0, sizes[0]))
 
-    limit = 2 * np.log(max(2, len(counts[1]))) + 4
-    marked = sorted(w for w, c in counts[1].items() if c >= 3 and c / sizes[1] >= 3 * (counts[0][w] + 1) / (sizes[0] + 1) and ratio(c, counts[0][w]) >= limit)
+    limit = 2 * np.log(max(2, np.count_nonzero(counts[1]))) + 4
+    tried = ((m, *counts[:, k].tolist()) for m, k in marks.items())
+    marked = sorted(m for m, c0, c1 in tried if c1 >= 3 and c1 / sizes[1] >= 3 * (c0 + 1) / (sizes[0] + 1) and ratio(c1, c0) >= limit)
     if not marked:
         return blank([float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), 0.0, 0.0, 0.0])
     known = set(marked)
-    raw = [TOKEN.findall(t) for t in texts]
-    chosen = [*[i for i in range(len(y)) if y[i] == 1][:CRF_ROWS], *[i for i in range(len(y)) if y[i] == 0][:CRF_ROWS]]
-    chosen = [i for i in chosen if raw[i]]
-    vocabulary: dict[str, int] = {}
-    ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for i in chosen for w in raw[i]], np.int64)
-    tags = np.array([y[i] == 1 and not known.isdisjoint(markers(w.lower())) for i in chosen for w in raw[i]], np.float64)
+    words = list(vocabulary)
+    marks_toxic = np.array([not known.isdisjoint(markers(w)) for w in low])
+    chosen = [*np.flatnonzero(y == 1)[:CRF_ROWS].tolist(), *np.flatnonzero(y == 0)[:CRF_ROWS].tolist()]
+    chosen = [i for i in chosen if len(raw[i])]
+    lengths = np.array([len(raw[i]) for i in chosen])
+    tags = np.concatenate([marks_toxic[raw[i]] & (y[i] == 1) for i in chosen]).astype(np.float64)
+    used, ids = np.unique(np.concatenate([raw[i] for i in chosen]), return_inverse=True)
+    ends = np.cumsum(lengths)
     first = np.zeros(len(ids), bool)
-    first[np.cumsum([0, *[len(raw[i]) for i in chosen[:-1]]])] = True
-    of = np.array([features(w) for w in vocabulary], np.int64)
+    first[ends - lengths] = True
+    runs = [slice(int(ends[a] - lengths[a]), int(ends[b - 1])) for a, b in slices(lengths)]
+    of = np.array([features(words[w]) for w in used.tolist()], np.int64)
     weights, start, step = np.zeros(BUCKETS), np.zeros(2), np.zeros((2, 2))
     gold = np.bincount(of.ravel(), np.repeat(np.bincount(ids, tags, len(of)), of.shape[1]), BUCKETS)
     gold_pairs = np.zeros((2, 2))
@@ -212,18 +232,23 @@ def fit(texts: list[str], toxic: list[int], share: float) -> ToxicModel:
     seen = [np.zeros_like(v) for v in (weights, step, start)]
     total = len(ids)
     for _ in range(STEPS):
-        odds = np.clip(weights[of].sum(axis=1), -30, 30)[ids]
-        p, pairs, _ = marginals(odds, first, start, step)
-        expected = np.bincount(of.ravel(), np.repeat(np.bincount(ids, p, len(of)), of.shape[1]), BUCKETS)
-        at_start = np.array([(1 - p[first]).sum(), p[first].sum()])
+        odds = np.clip(weights[of].sum(axis=1), -30, 30)
+        by_word, pairs, at_start = np.zeros(len(of)), np.zeros((2, 2)), np.zeros(2)
+        for run in runs:
+            p, some, _ = marginals(odds[ids[run]], first[run], start, step)
+            by_word += np.bincount(ids[run], p, len(of))
+            pairs += some
+            at_start += [(1 - p[first[run]]).sum(), p[first[run]].sum()]
+        expected = np.bincount(of.ravel(), np.repeat(by_word, of.shape[1]), BUCKETS)
         slopes = (gold - expected - 1e-2 * weights, gold_pairs - pairs - 1e-2 * step, gold_start - at_start - 1e-2 * start)
         for value, slope, past in zip((weights, step, start), slopes, seen):  # AdaGrad
             past += (slope / total) ** 2
             value += 0.7 * (slope / total) / np.sqrt(past + 1e-16)
     model = ToxicModel(weights, start, step, np.zeros(4), marked)
     cache = Odds(weights)
+    odds = np.array([cache[w] for w in words])
     sizes_of = np.array([len(r) for r in raw])
-    _, x = model.document_features(np.fromiter((cache[w] for r in raw for w in r), np.float64, int(sizes_of.sum())), sizes_of)
+    x = np.concatenate([model.document_features(odds[np.concatenate(raw[a:b])], sizes_of[a:b])[1] for a, b in slices(sizes_of)])
     sample = y.mean()
     weight = np.where(y == 1, share / sample, (1 - share) / (1 - sample))
     curve = np.zeros(4)
