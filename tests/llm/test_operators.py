@@ -198,6 +198,25 @@ def test_marginals_by_enumeration():
     assert np.allclose(p, [sum(w for t, w in weights.items() if t[i]) / z for i in range(7)]) and np.isclose(np.log(z), log_z) and np.isclose(pairs.sum(), 5)
 
 
+def test_fit_in_slices(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join([*(f"w{k}" for k in rng.integers(0, 50, 30)), *(["Vileword"] * (i % 3 == 0)), *(f"x{i}q{k}" for k in range(20))]) for i in range(60)] + ["", "..."]
+    toxic = [int(i % 3 == 0) for i in range(60)] + [0, 0]
+    whole = toxicity.fit(texts, toxic, 0.3)
+    cut = toxicity.slices
+    monkeypatch.setattr(toxicity, "slices", lambda sizes: cut(sizes, 100))
+    parts = toxicity.fit(texts, toxic, 0.3)
+    assert whole.words == parts.words and "vileword" in whole.words
+    assert np.allclose(whole.weights, parts.weights, atol=1e-6) and np.allclose(whole.curve, parts.curve, atol=1e-5)
+
+
+@given(st.lists(st.integers(0, 9), max_size=30))
+def test_slices_cover_all(sizes):
+    runs = list(toxicity.slices(np.array(sizes, int), 12))
+    assert [i for a, b in runs for i in range(a, b)] == list(range(len(sizes)))
+    assert all(a < b and (b == a + 1 or sum(sizes[a:b]) <= 12) for a, b in runs)
+
+
 def test_toxicity_held_out(spark):
     out = queries.op4_toxicity(spark, "/root/testdata/sf0.01")
     found = out.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("held_out").collect()
