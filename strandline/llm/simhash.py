@@ -128,6 +128,7 @@ def agreement(n: int, both: np.ndarray, group: list[int], limit: int) -> np.ndar
 def plan_partitions(n: int, both: np.ndarray, distance: int) -> list[tuple[list[int], int]]:
     """[(bits, threshold)]: the cheapest allotment over 1 .. distance + 1 partitions."""
     best: tuple[float, list[tuple[list[int], int]]] | None = None
+    n = max(n, 1)  # of nothing every plan would cost nothing, also one with more probes than could be listed
     for parts in range(1, distance + 2):
         groups = group_bits(n, both, parts)
         table = {0: (0.0, [])}  # sum of (threshold + 1) so far -> cost, thresholds

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import html
+import math
 import re
 import zlib
 
@@ -170,6 +171,13 @@ def test_thresholds_cover_the_distance():
             assert len(used) == len(set(used))
 
 
+def test_no_fingerprints_need_few_probes():
+    for bits, d in ((64, 2), (128, 23)):
+        plan = simhash.plan_partitions(0, np.zeros((bits, bits)), d)
+        assert sum(t + 1 for _, t in plan) == d + 1
+        assert sum(math.comb(len(g), r) for g, t in plan for r in range((t + 1) // 2 + 1)) < 1000
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 2000 + i) for i in range(200)] + [(5, 5)]
     found = {r["node"]: r["root"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
