@@ -34,6 +34,8 @@ from .graph import connected_components
 PROBE_COST, PAIR_COST = 40.0, 1.0
 #: Up to this distance a bucket that is too large is split by further partitions.
 NARROW = 3
+#: Buckets of up to SMALL members are verified many at a time, PAIRS_AT_ONCE pairs in one step.
+SMALL, PAIRS_AT_ONCE = 256, 1 << 18
 
 
 def shingle_hashes(text: str | None, width: int, bits: int = 64) -> np.ndarray:
@@ -175,6 +177,20 @@ def within_bucket(values: np.ndarray, distance: int) -> np.ndarray:
     return np.concatenate(links) if links else np.empty((0, 2), np.int64)
 
 
+def within_small_buckets(values: np.ndarray, starts: np.ndarray, size: int, distance: int) -> list[np.ndarray]:
+    """[(n, 2) indexes]: links that connect what within_bucket would, for many buckets of one size at once."""
+    one, two = np.triu_indices(size, 1)
+    out, step = [], max(1, PAIRS_AT_ONCE // len(one))
+    for at in range(0, len(starts), step):
+        first = starts[at : at + step, None]
+        hit = distance_between(values[first + one], values[first + two]) <= distance
+        found = hit.sum(axis=1)
+        bucket, pair = np.nonzero(hit & (found < size)[:, None])
+        out.append(np.stack((first[bucket, 0] + one[pair], first[bucket, 0] + two[pair]), axis=1))
+        out += [within_bucket(values[a : a + size], distance) + a for a in first[found >= size, 0].tolist()]
+    return out
+
+
 def probe_keys(k: int, group: list[int], radius: int, bits: int) -> Column:
     """array<struct<part, key>>: partition k's value with up to `radius` of its bits flipped, hashed."""
     names, mask = parts_of(bits), masks(bits, group)
@@ -240,13 +256,13 @@ def verified(probes: DataFrame, bits: int, distance: int) -> DataFrame:
             flat = lists.flatten()
             values = np.stack([flat.field(i).to_numpy(zero_copy_only=False) for i in range(len(names))], axis=1)
             starts = np.cumsum(sizes) - sizes
-            two = starts[sizes == 2]
-            near = distance_between(values[two], values[two + 1]) <= distance
-            found = [np.stack((two[near], two[near] + 1), axis=1)]
-            for at, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                pairs = within_bucket(values[at : at + size], distance)
-                if len(pairs):
-                    found.append(pairs + at)
+            found = [np.empty((0, 2), np.int64)]
+            for size in np.unique(sizes).tolist():
+                alike = starts[sizes == size]
+                if size <= SMALL:
+                    found += within_small_buckets(values, alike, size, distance)
+                else:
+                    found += [within_bucket(values[at : at + size], distance) + at for at in alike.tolist()]
             a, b = np.concatenate(found).T
             columns = [values[side, i] for side in (a, b) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ends)
