@@ -162,6 +162,24 @@ def test_links_through_hot_buckets(spark, bits, distance):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_small_buckets_connect_what_single_ones_do(monkeypatch):
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(simhash, "PAIRS_AT_ONCE", 40)
+    for size in (2, 3, 7, 20):
+        values = -rng.integers(1, 33, (size * 9, 2))
+        starts = np.arange(0, size * 9, size)
+        got = np.concatenate(simhash.within_small_buckets(values, starts, size, 2))
+        want = np.concatenate([simhash.within_bucket(values[a : a + size], 2) + a for a in starts])
+        assert (simhash.distance_between(values[got[:, 0]], values[got[:, 1]]) <= 2).all() and (size == 2 or len(want))
+        assert all(np.bincount(got[:, 0] // size, minlength=9) <= size)
+        parts = [list(range(size * 9)), list(range(size * 9))]
+        for part, links in zip(parts, (got, want)):
+            for _ in range(size):
+                for a, b in links.tolist():
+                    part[a] = part[b] = min(part[a], part[b])
+        assert parts[0] == parts[1]
+
+
 def test_thresholds_cover_the_distance():
     for n in (100, 10**6, 10**10):
         for bits, d in ((64, 2), (64, 6), (128, 23)):
