@@ -6,9 +6,10 @@
    what repeats becomes a repeated item, texts that differ become open text slots: a union-free regular
    expression, the host's wrapper. Equal expressions are counted before that, and a host's distinct ones
    are folded in salted parts first and then together, so a large host is no large task.
-3. The slots of the wrapper are labelled once a host: those in the article (else in the main part, else
-   in the body), outside regions named as menus, headers, footers, sidebars, notices, adverts, forms and
-   comments. Each page's texts are then taken by the labels of the slots that they fill.
+3. The slots of the wrapper are labelled once a host: in the article, in the main part, in a part named as
+   content or in the body, outside regions named as menus, headers, footers, sidebars, notices, adverts, forms
+   and comments. Each page's texts are then taken by the labels of the slots that they fill: those of the first
+   of these containers that the page itself has, as a host may mix templates.
 """
 
 from __future__ import annotations
@@ -190,8 +191,8 @@ def is_away(what: str, inside: bool) -> bool:
     return tag in AWAY or tag == "header" and not inside or bool(names and AWAY_NAMES.search(names))
 
 
-def slot_labels(items: list, pages: int) -> dict[str, bool]:
-    """Path of every element with a text slot -> whether its text belongs to the main text."""
+def slot_labels(items: list, pages: int) -> dict[str, int]:
+    """Path of every element with a text slot -> rank of its container: article 3, main part 2, part named as content 1, body 0; -1: not main text."""
     slots: list[tuple[str, list[str], bool]] = []
 
     def walk(nodes: list, path: list[str]) -> None:
@@ -212,35 +213,35 @@ def slot_labels(items: list, pages: int) -> dict[str, bool]:
         else:
             kept.append((name, path, constant))
     tags = lambda path: {w.split()[0] for w in path}
-    for rule in (lambda p: "article" in tags(p), lambda p: "main" in tags(p), lambda p: any(MAIN_NAMES.search(w.partition(" ")[2]) for w in p)):
-        if some := [s for s in kept if rule(s[1])]:
-            kept = some
-            break
+    rules = (lambda p: any(MAIN_NAMES.search(w.partition(" ")[2]) for w in p), lambda p: "main" in tags(p), lambda p: "article" in tags(p))
+    rank = {name: max((k for k, rule in enumerate(rules, 1) if rule(path)), default=0) for name, path, _ in kept}
     # A bare text that is the same on many pages, beside texts that differ, belongs to the template.
-    if pages >= CONSTANT_PAGES and any(not c for _, _, c in kept):
-        kept = [s for s in kept if not (s[2] and s[1] and s[1][-1].split()[0] in ("div", "section", "article", "main", "body"))]
+    if pages >= CONSTANT_PAGES:
+        differ = {rank[name] for name, _, constant in kept if not constant}
+        kept = [s for s in kept if not (s[2] and rank[s[0]] in differ and s[1] and s[1][-1].split()[0] in ("div", "section", "article", "main", "body"))]
     content = {name for name, _, _ in kept}
-    return {name: name in content for name, _, _ in slots}
+    return {name: rank[name] if name in content else -1 for name, _, _ in slots}
 
 
-def main_text(page: str, labels: dict[str, bool]) -> str:
-    blocks: list[str] = []
+def main_text(page: str, labels: dict[str, int]) -> str:
+    """The texts of the page's own best container: a host's templates need not have the same one."""
+    blocks: list[tuple[int, str]] = []
     parts: list[str] = []
     path: list[str] = []
-    keep, depth = labels.get("", False), 0
+    rank, depth = labels.get("", -1), 0
 
     def flush() -> None:
         if parts:
             if text := SPACE.sub(" ", html.unescape("".join(parts))).strip():
-                blocks.append(text)
+                blocks.append((rank, text))
             parts.clear()
 
     for kind, value in events(page):
         if kind == "text":
-            if keep:
+            if rank >= 0:
                 parts.append(value)
         elif kind == "gap":
-            if keep:
+            if rank >= 0:
                 parts.append(" ")
         else:
             flush()
@@ -252,9 +253,10 @@ def main_text(page: str, labels: dict[str, bool]) -> str:
                 if depth <= DEPTH:
                     path.pop()
                 depth -= 1
-            keep = labels.get("/".join(path), False)
+            rank = labels.get("/".join(path), -1)
     flush()
-    return "\n".join(blocks)
+    best = max((r for r, _ in blocks), default=0)
+    return "\n".join(text for r, text in blocks if r == best)
 
 
 def host_of(url):
@@ -262,7 +264,7 @@ def host_of(url):
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, pages, wrapper, labels): wrapper as a pattern, labels as JSON of slot path -> main text or not."""
+    """(host, pages, wrapper, labels): wrapper as a pattern, labels as JSON of slot path -> rank of its container (see slot_labels)."""
 
     def express(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -377,6 +377,13 @@ def test_main_text_of_the_table(spark, monkeypatch):
     assert {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()} == want
 
 
+def test_main_text_of_mixed_templates(spark):
+    forms = ["<div>Site</div><article><p>{0}</p></article>", "<div>Site</div><main><p>{0}</p></main>", "<div>Site</div><div class='content'><p>{0}</p></div>", "<p>{0}</p>", "<article> </article><p>{0}</p>"]
+    rows = [(i, url, forms[i % 5].format(f"text {i}")) for i, url in enumerate(["http://a.example/x"] * 10 + [None] * 10)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"text {i}" for i in range(20)}
+
+
 # Search
 
 
