@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import html
 import json
+import operator
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +92,14 @@ def events(page: str) -> Iterator[tuple[str, object]]:
 
 
 # An expression is a list of items. An item: [what, quantity, children, constant text, seen]; what is a
-# tag with its classes, or "#" for a text; quantity: "1", "?", "+" or "*".
+# tag with its classes, or "#" for a text; quantity: "1", "?", "+" or "*"; a long constant text is its
+# beginning and a hash of all of it; seen: the distinct pages that have the text.
+LONGEST, HASHED = 80, "\0"
+
+
+def constant_of(text: str) -> str:
+    words = SPACE.sub(" ", text).strip()
+    return words if len(words) <= LONGEST else words[:LONGEST] + HASHED + xxhash.xxh3_128_hexdigest(words.encode("utf-8", "replace"))
 
 
 def page_expression(page: str) -> list:
@@ -101,7 +110,7 @@ def page_expression(page: str) -> list:
         if kind == "open":
             depth += 1
             if depth <= DEPTH:  # what is nested deeper counts as part of its ancestor there
-                item = [value, "1", [], None]
+                item = [value, "1", [], None, 1]
                 stack[-1].append(item)
                 stack.append(item[2])
         elif kind == "close":
@@ -109,11 +118,10 @@ def page_expression(page: str) -> list:
                 stack.pop()
             depth -= 1
         elif kind == "text" and not value.isspace():
-            words = SPACE.sub(" ", value).strip()[:80]
             if stack[-1] and stack[-1][-1][0] == "#":
                 stack[-1][-1][3] = None
             else:
-                stack[-1].append(["#", "1", [], words])
+                stack[-1].append(["#", "1", [], constant_of(value), 1])
     return folded(root)
 
 
@@ -122,13 +130,19 @@ def quantity(a: str, b: str) -> str:
     return "*" if many and none else "+" if many else "?" if none else "1"
 
 
-def joined(a: list, b: list) -> list:
-    return [a[0], quantity(a[1], b[1]), aligned(a[2], b[2]), a[3] if a[3] == b[3] else None]
+def joined(a: list, b: list, count: Callable = max) -> list:
+    """One item for two; count: operator.add for items of different pages, max for what one page may have twice."""
+    return [a[0], quantity(a[1], b[1]), aligned(a[2], b[2], count), a[3] if a[3] == b[3] else None, count(a[4], b[4])]
+
+
+def weighted(items: list, pages: int) -> list:
+    """The expression as one of so many distinct pages."""
+    return [[w, q, weighted(c, pages), t, pages] for w, q, c, t, _ in items]
 
 
 def folded(items: list) -> list:
     """Runs of like siblings become one repeated item; so do runs of two or three siblings in turn."""
-    items = [[w, q, folded(c), t] for w, q, c, t in items]
+    items = [[w, q, folded(c), t, n] for w, q, c, t, n in items]
     for period in (1, 2, 3):
         out: list = []
         for item in items:
@@ -145,13 +159,13 @@ def folded(items: list) -> list:
 
 
 def optional(item: list) -> list:
-    return [item[0], "*" if item[1] in "+*" else "?", item[2], item[3]]
+    return [item[0], "*" if item[1] in "+*" else "?", *item[2:]]
 
 
-def aligned(a: list, b: list) -> list:
+def aligned(a: list, b: list, count: Callable = operator.add) -> list:
     """The least common generalisation of two item lists by their longest common subsequence."""
     if [x[0] for x in a] == [x[0] for x in b]:
-        return [joined(x, y) for x, y in zip(a, b)]
+        return [joined(x, y, count) for x, y in zip(a, b)]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -159,7 +173,7 @@ def aligned(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i][0] == b[j][0]:
-            out.append(joined(a[i], b[j]))
+            out.append(joined(a[i], b[j], count))
             i, j = i + 1, j + 1
         elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
             out.append(optional(a[i]))
@@ -180,8 +194,8 @@ def aligned(a: list, b: list) -> list:
 def as_pattern(items: list) -> str:
     """The wrapper in the notation of regular expressions."""
     out = []
-    for what, q, children, constant in items:
-        one = ("(?:" + re.escape(constant) + ")" if constant is not None else "(.*?)") if what == "#" else f"<{what}>{as_pattern(children)}</{what.split()[0]}>"
+    for what, q, children, constant, _ in items:
+        one = ("(?:" + re.escape(constant.split(HASHED)[0]) + (".*?)" if HASHED in constant else ")") if constant is not None else "(.*?)") if what == "#" else f"<{what}>{as_pattern(children)}</{what.split()[0]}>"
         out.append(one if q == "1" else f"(?:{one}){q}")
     return "".join(out)
 
@@ -191,14 +205,14 @@ def is_away(what: str, inside: bool) -> bool:
     return tag in AWAY or tag == "header" and not inside or bool(names and AWAY_NAMES.search(names))
 
 
-def slot_labels(items: list, pages: int) -> dict[str, int]:
+def slot_labels(items: list) -> dict[str, int]:
     """Path of every element with a text slot -> rank of its container: article 3, main part 2, part named as content 1, body 0; -1: not main text."""
     slots: list[tuple[str, list[str], bool]] = []
 
     def walk(nodes: list, path: list[str]) -> None:
-        for what, _, children, constant in nodes:
+        for what, _, children, constant, seen in nodes:
             if what == "#":
-                slots.append(("/".join(path), path, constant is not None))
+                slots.append(("/".join(path), path, constant is not None and seen >= CONSTANT_PAGES))
             else:
                 walk(children, [*path, what])
 
@@ -215,10 +229,10 @@ def slot_labels(items: list, pages: int) -> dict[str, int]:
     tags = lambda path: {w.split()[0] for w in path}
     rules = (lambda p: any(MAIN_NAMES.search(w.partition(" ")[2]) for w in p), lambda p: "main" in tags(p), lambda p: "article" in tags(p))
     rank = {name: max((k for k, rule in enumerate(rules, 1) if rule(path)), default=0) for name, path, _ in kept}
-    # A bare text that is the same on many pages, beside texts that differ, belongs to the template.
-    if pages >= CONSTANT_PAGES:
-        differ = {rank[name] for name, _, constant in kept if not constant}
-        kept = [s for s in kept if not (s[2] and rank[s[0]] in differ and s[1] and s[1][-1].split()[0] in ("div", "section", "article", "main", "body"))]
+    # A bare text of the body that is the same on many pages, beside texts that differ, belongs to the template; one in
+    # an article, a main part or a part named as content is content, however often it stands there.
+    if any(not constant for name, _, constant in kept if rank[name] == 0):
+        kept = [s for s in kept if not (s[2] and rank[s[0]] == 0 and s[1] and s[1][-1].split()[0] in ("div", "section", "body"))]
     content = {name for name, _, _ in kept}
     return {name: rank[name] if name in content else -1 for name, _, _ in slots}
 
@@ -268,20 +282,23 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
     def express(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [json.dumps(page_expression(p or ""), ensure_ascii=False) for p in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["host", "expr"])
+            read = [p or "" for p in batch.column(1).to_pylist()]
+            found = [json.dumps(page_expression(p), ensure_ascii=False) for p in read]
+            known = [xxhash.xxh64_intdigest(p.encode("utf-8", "replace")) - (1 << 63) for p in read]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), pa.array(known, pa.int64())], ["host", "expr", "page"])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by group; one wrapper a group, whatever its size, is held at a time."""
+        """Rows come sorted by group; one wrapper a group, whatever its size, is held at a time. seen is 0 for parts, whose items have it."""
         group, host, held, pages_, out = None, None, None, 0, []
         for batch in batches:
-            for h, salt, expr, n in zip(*(c.to_pylist() for c in batch.columns)):
+            for h, salt, expr, n, seen in zip(*(c.to_pylist() for c in batch.columns)):
+                items = weighted(json.loads(expr), seen) if seen else json.loads(expr)
                 if (h, salt) != group:
                     if group is not None:
                         out.append((host, json.dumps(held, ensure_ascii=False), pages_))
-                    group, host, held, pages_ = (h, salt), h, json.loads(expr), 0
+                    group, host, held, pages_ = (h, salt), h, items, 0
                 else:
-                    held = aligned(held, json.loads(expr))
+                    held = aligned(held, items)
                 pages_ += n
             if len(out) > 500:
                 yield as_batch(out)
@@ -296,13 +313,15 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             exprs = [json.loads(e) for e in batch.column(1).to_pylist()]
-            labels = [json.dumps(slot_labels(e, n), ensure_ascii=False) for e, n in zip(exprs, batch.column(2).to_pylist())]
+            labels = [json.dumps(slot_labels(e), ensure_ascii=False) for e in exprs]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([as_pattern(e) for e in exprs], pa.string()), pa.array(labels, pa.string())], ["host", "pages", "wrapper", "labels"])
 
-    distinct = pages.mapInArrow(express, "host string, expr string").groupBy("host", "expr").agg(F.count(F.lit(1)).alias("n"))
-    salted = distinct.select("host", F.pmod(F.xxhash64("expr"), F.lit(SALTS)).alias("salt"), "expr", "n")
+    # Exact copies of a page count once where it is asked on how many pages a text stands.
+    copies = pages.mapInArrow(express, "host string, expr string, page bigint").groupBy("host", "expr", "page").agg(F.count(F.lit(1)).alias("n"))
+    distinct = copies.groupBy("host", "expr").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("seen"))
+    salted = distinct.select("host", F.pmod(F.xxhash64("expr"), F.lit(SALTS)).alias("salt"), "expr", "n", "seen")
     part = salted.repartition("host", "salt").sortWithinPartitions("host", "salt", "expr").mapInArrow(fold, "host string, expr string, n bigint")
-    whole = part.select("host", F.lit(0).cast("bigint").alias("salt"), "expr", "n").repartition("host").sortWithinPartitions("host", "expr").mapInArrow(fold, "host string, expr string, n bigint")
+    whole = part.select("host", F.lit(0).cast("bigint").alias("salt"), "expr", "n", F.lit(0).cast("bigint").alias("seen")).repartition("host").sortWithinPartitions("host", "expr").mapInArrow(fold, "host string, expr string, n bigint")
     return whole.mapInArrow(label, "host string, pages bigint, wrapper string, labels string")
 
 

@@ -384,6 +384,25 @@ def test_main_text_of_mixed_templates(spark):
     assert got == {i: f"text {i}" for i in range(20)}
 
 
+def test_main_text_keeps_constant_texts_of_articles(spark):
+    """Neither many pages, nor a common beginning, nor copies of a page, nor few pages of a template drop a text; body furniture goes."""
+    rows, want = [], {}
+
+    def add(host, form, texts, main="{0}"):
+        for i, text in enumerate(texts):
+            rows.append((len(rows), f"http://{host}.example/{i}", form.format(text, i)))
+            want[len(want)] = main.format(text, i)
+
+    add("lead", "<article>Lead<p>{0}</p></article>", [f"text {i}" for i in range(9)], "Lead\n{0}")
+    add("head", "<div>{0}</div><p>p {1}</p>", ["same " * 20 + str(i) for i in range(9)], "{0}\np {1}")
+    add("copy", "<div>Lead</div><p>a</p><p>b</p>", [""] * 9, "Lead\na\nb")
+    add("rare", "<div><p>{0}</p></div>", [f"text {i}" for i in range(9)])
+    add("rare", "<section>{0}</section>", ["only here"])
+    add("site", "<div>Site</div><p>{0}</p><p>{1}</p>", [f"text {i}" for i in range(9)], "{0}\n{1}")
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 # Search
 
 
