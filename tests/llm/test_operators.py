@@ -61,6 +61,21 @@ def test_passages(spark):
     assert len(set(side) & set(shared)) >= 62
 
 
+def test_passages_of_frequent_lines(spark):
+    """Two texts share 60 words, of which each line of 15 words stands singly in 20 others."""
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))
+    rows, want = [], set()
+    for _ in range(12):
+        lines = [words(15) for _ in range(4)]
+        want.add(frozenset((len(rows), len(rows) + 1)))
+        for held in [" ".join(lines)] * 2 + lines * 20:
+            rows.append((len(rows), f"{words(40)} {held} {words(40)}"))
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {frozenset((r["doc_id"], r["partner_id"])) for r in out} == want
+    assert all(60 <= r["n_words"] <= 62 and r["same_words"] == 60 for r in out)
+
+
 def test_chain_is_best():
     a, b = np.array([0, 5, 10, 20, 30]), np.array([100, 105, 7, 120, 130])
     assert passages.chains(a, b)[0] == [0, 1, 3, 4]
