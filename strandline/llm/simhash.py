@@ -65,17 +65,17 @@ def parts_of(bits: int) -> list[str]:
 
 
 def fingerprints(docs: DataFrame, width: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, f0 ..): null and empty texts have zero."""
+    """(doc_id, text_hash, f0 ..): null and empty texts have zero."""
     names = parts_of(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = b"".join([fingerprint(shingle_hashes(t.as_py(), width, bits)) for t in batch.column(1)])
             found = np.frombuffer(raw, ">i8").reshape(-1, len(names)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, i]) for i in range(len(names)))], ["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(found[:, i]) for i in range(len(names)))], ["doc_id", "text_hash", *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in names))
+    return docs.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col)).mapInArrow(run, f"doc_id {kind}, text_hash bigint, " + ", ".join(f"{c} bigint" for c in names))
 
 
 def bit_statistics(distinct: DataFrame, bits: int) -> tuple[int, np.ndarray]:
@@ -273,14 +273,14 @@ def verified(probes: DataFrame, bits: int, distance: int) -> DataFrame:
 
 
 def grouped(docs: DataFrame, width: int, bits: int, distance: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node, f0 ..) by row, and (node, component_id) by distinct fingerprint."""
+    """(doc_id, text_hash, node, f0 ..) by row, and (node, root, component_id) by distinct fingerprint."""
     names = parts_of(bits)
     prints = materialise(fingerprints(docs, width, bits, id_col, text_col).withColumn("node", node(names)), "simhash-fp")
     nodes = materialise(prints.groupBy("node", *names).agg(F.min("doc_id").alias("least")), "simhash-nodes")
     found = connected_components(links(nodes.select(*names), bits, distance), "simhash")
     rooted = nodes.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints, materialise(rooted.join(named, "root").select("node", "component_id").distinct(), "simhash-groups")
+    return prints, materialise(rooted.join(named, "root").select("node", "root", "component_id").distinct(), "simhash-groups")
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 3, distance: int = 2, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -296,20 +296,22 @@ def near_duplicate_groups(docs: DataFrame, width: int = 3, distance: int = 2, bi
 
 
 def keep_one(docs: DataFrame, width: int = 5, distance: int = 23, bits: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each near-duplicate group: that of the least id (a group of null ids: any one).
+    """docs with one row of each near-duplicate group: that of the least id, in a tie (or of null ids only) of the least text hash.
 
     Texts are near duplicates if at most 23 of the 128 bits of their fingerprints over five-word
     shingles differ, a likeness of 0.82 or more. Eight partitions with a threshold of 2 each find all
-    of them. All columns stay. Null and empty texts are one group. Of rows that repeat an id, one stays.
+    of them. All columns stay. Null and empty texts are one group. Null ids and ids that repeat with
+    unlike texts are as good as others: each group keeps a row.
     """
     prints, groups = grouped(docs, width, bits, distance, id_col, text_col)
-    placed = prints.join(groups, "node").select("doc_id", "node", "component_id")
-    kept = placed.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("node").alias("nodes"))
-    kept = materialise(kept, "simhash-kept")
-    stay = docs.join(kept.select(F.col("doc_id").alias("__id")), F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_semi")
-    twice = kept.where("n > 1").select(F.col("doc_id").alias("__id"))
+    placed = prints.join(groups, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = placed.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    kept = materialise(rows.groupBy("root").agg(F.min(F.struct("text_hash", "n", "doc_id")).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__text"), "k.n"), "simhash-kept")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(f"`{text_col}`") == F.col("__text"))
+    stay = docs.join(kept, same, "left_semi")
+    twice = kept.where("n > 1")
     if twice.isEmpty():
         return stay
-    single = stay.join(twice, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_anti")
-    repeats = stay.join(twice, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_semi")
-    return single.unionByName(repeats.dropDuplicates([id_col]))
+    single = stay.join(twice, same, "left_anti")
+    repeats = stay.join(twice, same, "left_semi").withColumn("__text", F.xxhash64(f"`{text_col}`")).dropDuplicates([id_col, "__text"]).drop("__text")
+    return single.unionByName(repeats)

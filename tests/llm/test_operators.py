@@ -224,6 +224,14 @@ def test_keep_one(spark):
     assert sorted((r["doc_id"] or 0) for r in kept) == [0, 1, 9]
 
 
+def test_keep_one_of_every_group(spark):
+    """Null ids, and one id with two texts, are kept by group; copies of them still go."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(300)) for x in "abcde")
+    rows = [(None, a), (None, a), (None, b), (5, c), (5, d), (8, d), (5, d), (None, e), (9, e)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"] or 0, r["text"][0]) for r in kept)) == [(0, "a"), (0, "b"), (5, "c"), (5, "d"), (9, "e")]
+
+
 # Toxicity
 
 
