@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,13 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the cluster names none (a single-machine test session) is a folder of our own set.
+    Only where none is named and everything runs on this machine (a test session) is a folder of our own
+    set; on a cluster that would be one that executors cannot read, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     own = spark.sparkContext.getCheckpointDir()
     if not own:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"{master}: set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandline-"))
         own = spark.sparkContext.getCheckpointDir()
     return own.rstrip("/")
@@ -33,12 +38,31 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
     It cuts the lineage, so that a lost executor costs no more than the stage that it ran, and later
     jobs share one computation. Parquet is used rather than checkpoint() because it is several times
-    smaller than serialised rows and prunes columns.
+    smaller than serialised rows and prunes columns. The table stays until discard() or clean().
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/strandline/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/strandline/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove materialised tables that nothing will read again; other frames are left alone."""
+    for df in tables:
+        if path := getattr(df, "_written_at", None):
+            _remove(df.sparkSession, path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove all that this application has materialised: once its results are written or collected."""
+    _remove(spark, f"{shared_dir(spark)}/strandline/{spark.sparkContext.applicationId}")
 
 
 def plan_bytes(df: DataFrame) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -30,11 +30,14 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
         of = lambda side: parent.select(F.col("node").alias(side), F.col("parent").alias(f"p{side}"))
         moved = links.join(of("a"), "a").join(of("b"), "b").where("pa <> pb")
         moved = moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
-        links = materialise(moved, f"{label}-links")
+        used, links = links, materialise(moved, f"{label}-links")
+        discard(used)
     if not parents:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = parents[0].select("node", F.col("parent").alias("root"))
     for parent in parents[1:]:
         step = parent.select(F.col("node").alias("root"), F.col("parent").alias("next"))
         found = found.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return materialise(found, f"{label}-found")
+    found = materialise(found, f"{label}-found")
+    discard(links, *parents)
+    return found

@@ -7,35 +7,41 @@
    candidate counts, over several numbers of partitions: two fingerprints within d bits agree within
    t_i bits on some partition i. A partition with t_i = -1 is not probed.
 3. A probe at threshold t sends a fingerprint to the keys within ceil(t/2) bits of its partition value;
-   as both sides do so, they meet in a bucket. Each bucket is verified on all bits.
+   as both sides do so, they meet in a bucket. Probes are dealt by key and sorted, so buckets stream by;
+   each is verified on all bits, many small ones at once. Where a similarity is the goal, a bucket is also
+   sorted by the number of distinct shingles, and only pairs whose numbers allow that similarity are looked at.
 4. A bucket emits a spanning forest of its links (at most one link a member), never all pairs. A
    bucket over `bucket_limit` members is split: for small d by the plain pigeonhole on the bits not
    used so far, else into blocks that meet two by two; so no bucket is truncated and no task gets an
    unbounded one.
 5. Links become groups by distributed contraction (graph.py).
+6. keep_one verifies on the shingles themselves before a row goes (see there).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 from .graph import connected_components
 
 #: Relative cost of writing one probe row and of verifying one candidate pair.
-PROBE_COST, PAIR_COST = 40.0, 1.0
+PROBE_COST, PAIR_COST = 100.0, 1.0
 #: Up to this distance a bucket that is too large is split by further partitions.
 NARROW = 3
-#: Buckets of up to SMALL members are verified many at a time, PAIRS_AT_ONCE pairs in one step.
-SMALL, PAIRS_AT_ONCE = 256, 1 << 18
+#: Rows that are verified at once, and links that are held before they are reduced to a forest.
+ROWS_AT_ONCE, LINKS_AT_ONCE = 1 << 17, 1 << 20
+#: Distinct texts of a group that one task compares with leaders of the group, and texts that may become leaders in one round.
+GROUP_SPLIT, LEADERS = 4096, 16
 
 
 def shingle_hashes(text: str | None, width: int, bits: int = 64) -> np.ndarray:
@@ -64,18 +70,32 @@ def parts_of(bits: int) -> list[str]:
     return [f"f{i}" for i in range(bits // 64)]
 
 
-def fingerprints(docs: DataFrame, width: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, f0 ..): null and empty texts have zero."""
+def fingerprints(docs: DataFrame, width: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text", with_shingles: bool = False) -> DataFrame:
+    """(doc_id, text_hash, f0 ..): null and empty texts have zero. with_shingles: also the distinct shingles, as hashes of 32 bits, and their number."""
     names = parts_of(bits)
+    out = ["doc_id", "text_hash", *names] + ["shingles", "size"] * with_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = b"".join([fingerprint(shingle_hashes(t.as_py(), width, bits)) for t in batch.column(1)])
-            found = np.frombuffer(raw, ">i8").reshape(-1, len(names)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(found[:, i]) for i in range(len(names)))], ["doc_id", "text_hash", *names])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                raw, sets = [], []
+                for t in batch.column(1):
+                    hashes = shingle_hashes(t.as_py(), width, bits)
+                    raw.append(fingerprint(hashes))
+                    if with_shingles:
+                        sets.append(np.unique(np.ascontiguousarray(hashes[:, :4]).view(np.int32).ravel()))
+                found = np.frombuffer(b"".join(raw), ">i8").reshape(-1, len(names)).astype(np.int64)
+                columns = [batch.column(0), batch.column(2), *(pa.array(found[:, i]) for i in range(len(names)))]
+                if with_shingles:
+                    sizes = np.array([len(x) for x in sets], np.int32)
+                    ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+                    columns += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets))), pa.array(sizes)]
+                yield pa.RecordBatch.from_arrays(columns, out)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col)).mapInArrow(run, f"doc_id {kind}, text_hash bigint, " + ", ".join(f"{c} bigint" for c in names))
+    schema = f"doc_id {kind}, text_hash bigint, " + ", ".join(f"{c} bigint" for c in names) + ", shingles array<int>, size int" * with_shingles
+    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.xxhash64(f"`{text_col}`")).mapInArrow(run, schema)
 
 
 def bit_statistics(distinct: DataFrame, bits: int) -> tuple[int, np.ndarray]:
@@ -115,32 +135,35 @@ def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     return groups
 
 
-def agreement(n: int, both: np.ndarray, group: list[int], limit: int) -> np.ndarray:
-    """Estimated share of pairs that differ in at most 0, 1, .. limit bits of a group, from the bits' rates."""
-    chance = np.zeros(limit + 2)
+def meetings(n: int, both: np.ndarray, group: list[int], radius: int) -> float:
+    """In how many buckets of a group two fingerprints meet on average, each sent to all keys within `radius`; from the bits' rates."""
+    w = len(group)
+    most = min(2 * radius, w)
+    chance = np.zeros(most + 2)  # of 0, 1, .. differing bits
     chance[0] = 1.0
     for b in group:
         p = both[b, b] / max(n, 1)
         differ = 2 * p * (1 - p)
         chance[1:] = chance[1:] * (1 - differ) + chance[:-1] * differ
         chance[0] *= 1 - differ
-    return np.cumsum(chance)[: limit + 1]
+    # Keys within radius of both: i of the x differing bits flipped, and j of the others.
+    common = [sum(comb(x, i) * comb(w - x, j) for i in range(x + 1) for j in range(min(radius - i, radius - x + i, w - x) + 1)) for x in range(most + 1)]
+    return float(np.dot(chance[: most + 1], common))
 
 
-def plan_partitions(n: int, both: np.ndarray, distance: int) -> list[tuple[list[int], int]]:
-    """[(bits, threshold)]: the cheapest allotment over 1 .. distance + 1 partitions."""
+def plan_partitions(n: int, both: np.ndarray, distance: int, share: float = 1.0) -> list[tuple[list[int], int]]:
+    """[(bits, threshold)]: the cheapest allotment over 1 .. distance + 1 partitions. share: that of pairs which are looked at."""
     best: tuple[float, list[tuple[list[int], int]]] | None = None
     n = max(n, 1)  # of nothing every plan would cost nothing, also one with more probes than could be listed
     for parts in range(1, distance + 2):
         groups = group_bits(n, both, parts)
         table = {0: (0.0, [])}  # sum of (threshold + 1) so far -> cost, thresholds
         for group in groups:
-            near = agreement(n, both, group, 2 * ((distance + 1) // 2))
+            price = [PROBE_COST * n * sum(comb(len(group), r) for r in range(radius + 1)) + share * PAIR_COST * n * n / 2 * meetings(n, both, group, radius) for radius in range((distance + 1) // 2 + 1)]
             grown: dict[int, tuple[float, list[int]]] = {}
             for used, (cost, chosen) in table.items():
                 for t in range(-1, distance - used + 1):
-                    radius = (t + 1) // 2
-                    more = 0.0 if t < 0 else PROBE_COST * n * sum(comb(len(group), r) for r in range(radius + 1)) + PAIR_COST * n * n / 2 * near[2 * radius]
+                    more = 0.0 if t < 0 else price[(t + 1) // 2]
                     if (at := used + t + 1) not in grown or cost + more < grown[at][0]:
                         grown[at] = (cost + more, [*chosen, t])
             table = grown
@@ -163,32 +186,49 @@ def distance_between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=-1, dtype=np.int16)
 
 
-def within_bucket(values: np.ndarray, distance: int) -> np.ndarray:
-    """(n, 2) indexes: a spanning forest of the links among (members, words); memory stays linear in their number."""
-    links, free = [], np.arange(len(values))
-    while len(free) > 1:
-        root, front, free = free[0], free[:1], free[1:]
-        while len(front) and len(free):
-            hit = np.zeros(len(free), bool)
-            for at in range(0, len(front), 64):
-                hit |= (distance_between(values[front[at : at + 64], None, :], values[None, free, :]) <= distance).any(axis=0)
-            front, free = free[hit], free[~hit]
-            links.append(np.stack((np.full(len(front), root), front), axis=1))
-    return np.concatenate(links) if links else np.empty((0, 2), np.int64)
-
-
-def within_small_buckets(values: np.ndarray, starts: np.ndarray, size: int, distance: int) -> list[np.ndarray]:
-    """[(n, 2) indexes]: links that connect what within_bucket would, for many buckets of one size at once."""
-    one, two = np.triu_indices(size, 1)
-    out, step = [], max(1, PAIRS_AT_ONCE // len(one))
-    for at in range(0, len(starts), step):
-        first = starts[at : at + step, None]
-        hit = distance_between(values[first + one], values[first + two]) <= distance
-        found = hit.sum(axis=1)
-        bucket, pair = np.nonzero(hit & (found < size)[:, None])
-        out.append(np.stack((first[bucket, 0] + one[pair], first[bucket, 0] + two[pair]), axis=1))
-        out += [within_bucket(values[a : a + size], distance) + a for a in first[found >= size, 0].tolist()]
-    return out
+def roots_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n members the least one that the links (a, b) reach."""
+    root = np.arange(n)
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := root[root], root):
+            root = up
+    return root
+
+
+def forest(key: np.ndarray, values: np.ndarray, size: np.ndarray | None, distance: int, ratio: float) -> np.ndarray:
+    """(n, 2) indexes: a spanning forest of the links among the members of each bucket.
+
+    Rows are sorted by key, and with a ratio by size. Each row is compared with the next, the next but
+    one and so on, all rows in one step, while there is a further member (of a size that fits: of two
+    sets of a similarity of at least `ratio` the smaller has at least `ratio` times the other's size).
+    """
+    n = len(key)
+    bucket = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
+    if size is None:
+        stop = np.searchsorted(bucket, bucket, "right")
+    else:
+        stop = np.searchsorted((bucket << 32) + size, (bucket << 32) + np.floor(size / ratio + 1e-9).astype(np.int64), "right")
+    left, held_a, held_b, held = np.arange(n), [], [], 0
+    links_a = links_b = np.empty(0, np.int64)
+    step = 0
+    while True:
+        step += 1
+        left = left[left + step < stop[left]]
+        if held and (not len(left) or held > LINKS_AT_ONCE):
+            root = roots_of(n, np.concatenate([links_a, *held_a]), np.concatenate([links_b, *held_b]))
+            links_b = np.flatnonzero(root != np.arange(n))
+            links_a, held_a, held_b, held = root[links_b], [], [], 0
+        if not len(left):
+            return np.stack((links_a, links_b), axis=1)
+        near = left[distance_between(values[left], values[left + step]) <= distance]
+        if len(near):
+            held_a.append(near)
+            held_b.append(near + step)
+            held += len(near)
 
 
 def probe_keys(k: int, group: list[int], radius: int, bits: int) -> Column:
@@ -200,33 +240,43 @@ def probe_keys(k: int, group: list[int], radius: int, bits: int) -> Column:
     return F.transform(patterns, lambda x: F.struct(F.lit(k).alias("part"), F.xxhash64(F.lit(k), *value(x)).alias("key")))
 
 
-def links(distinct: DataFrame, bits: int, distance: int, bucket_limit: int = 2048) -> DataFrame:
-    """(a, b): node numbers (see node) of links that connect whatever lies within `distance` bits."""
-    names = parts_of(bits)
+def admissible_share(distinct: DataFrame, ratio: float) -> float:
+    """Share of pairs whose sizes are within the ratio, from the counts of sizes in bands of a twentieth of it."""
+    step = -np.log(ratio) / 20
+    bands = distinct.groupBy(F.floor(F.log(F.greatest("size", F.lit(1))) / step).alias("band")).count().collect()
+    at, n = np.array([r["band"] for r in bands]), np.array([r["count"] for r in bands], float)
+    return float((n[:, None] * n[None, :] * (np.abs(at[:, None] - at[None, :]) <= 20)).sum() / max(1.0, n.sum() ** 2)) if len(n) else 1.0
+
+
+def links(distinct: DataFrame, bits: int, distance: int, bucket_limit: int = 8192, ratio: float = 0.0) -> DataFrame:
+    """(a, b): node numbers (see node) of links that connect whatever lies within `distance` bits.
+
+    With a ratio, distinct has a column size too, and only pairs whose sizes are within it are looked at.
+    """
+    names = parts_of(bits) + ["size"] * (ratio > 0)
     n, both = bit_statistics(distinct, bits)
-    plan = plan_partitions(n, both, distance)
-    own = F.struct(*names)
+    plan = plan_partitions(n, both, distance, admissible_share(distinct, ratio) if ratio else 1.0)
     entries = [probe_keys(k, group, (t + 1) // 2, bits) for k, (group, t) in enumerate(plan)]
-    probes = distinct.select(own.alias("fp"), F.explode(F.concat(*entries)).alias("p")).select("fp", "p.part", "p.key")
+    probes = distinct.select(*names, F.explode(F.concat(*entries)).alias("p")).select(*names, "p.part", "p.key")
     used = {k: set(group) for k, (group, _) in enumerate(plan)}
     out: DataFrame | None = None
     while True:
         hot = materialise(probes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_limit), "simhash-hot")
         some = not hot.isEmpty()
         cold = probes.join(hot, "key", "left_anti") if some else probes
-        found = verified(cold, bits, distance)
+        found = verified(cold, bits, distance, ratio)
         out = found if out is None else out.unionByName(found)
         if not some:
             return out
         left = {k: sorted(set(range(bits)) - group) for k, group in used.items()}
         if distance > NARROW:
             blocks = F.ceil(F.col("n") * 2 / bucket_limit).cast("int")
-            mine = F.pmod(F.xxhash64("fp"), blocks.cast("bigint")).cast("int")
-            met = probes.join(hot, "key").withColumn("mine", mine).select("fp", "part", "key", "mine", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-            met = met.select("fp", "part", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
-            return out.unionByName(verified(met, bits, distance))
+            mine = F.pmod(F.xxhash64(*names), blocks.cast("bigint")).cast("int")
+            met = probes.join(hot, "key").withColumn("mine", mine).select(*names, "part", "key", "mine", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+            met = met.select(*names, "part", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
+            return out.unionByName(verified(met, bits, distance, ratio))
         if all(len(group) <= 2 * distance + 2 for group in left.values()):  # no more than a few members differ
-            return out.unionByName(verified(probes.join(hot, "key", "left_semi"), bits, distance))
+            return out.unionByName(verified(probes.join(hot, "key", "left_semi"), bits, distance, ratio))
         split, nxt = {}, {}
         for k, group in left.items():
             split[k] = []
@@ -234,42 +284,47 @@ def links(distinct: DataFrame, bits: int, distance: int, bucket_limit: int = 204
                 nxt[len(nxt)] = used[k] | set(piece.tolist())
                 split[k].append((len(nxt) - 1, masks(bits, piece.tolist())))
         pieces = F.create_map(*[x for k, v in split.items() for x in (F.lit(k), F.array(*[F.struct(F.lit(i).alias("part"), *[F.lit(w).alias(f"m{j}") for j, w in enumerate(m)]) for i, m in v]))])
-        hotter = probes.join(hot, "key", "left_semi").select("fp", "key", F.explode(pieces[F.col("part")]).alias("p"))
-        key_ = F.xxhash64("key", "p.part", *[F.col(f"fp.{c}").bitwiseAND(F.col(f"p.m{i}")) for i, c in enumerate(names)])
-        probes = hotter.select("fp", "p.part", key_.alias("key"))
+        hotter = probes.join(hot, "key", "left_semi").select(*names, "key", F.explode(pieces[F.col("part")]).alias("p"))
+        key_ = F.xxhash64("key", "p.part", *[F.col(c).bitwiseAND(F.col(f"p.m{i}")) for i, c in enumerate(parts_of(bits))])
+        probes = hotter.select(*names, "p.part", key_.alias("key"))
         used = nxt
 
 
 def node(names: list[str], prefix: str = "") -> Column:
-    """The number of a fingerprint: itself if it has 64 bits, else its hash."""
+    """The number of a fingerprint (and size): itself if it is one of 64 bits alone, else a hash."""
     return F.col(prefix + names[0]) if len(names) == 1 else F.xxhash64(*[F.col(prefix + c) for c in names])
 
 
-def verified(probes: DataFrame, bits: int, distance: int) -> DataFrame:
-    names = parts_of(bits)
-    ends = [f"{side}{c}" for side in "ab" for c in names]
+def verified(probes: DataFrame, bits: int, distance: int, ratio: float) -> DataFrame:
+    """Links within the buckets of equal keys. Buckets stream by in the order of their keys; a task holds ROWS_AT_ONCE rows and one bucket."""
+    names, sized = parts_of(bits), ratio > 0
+    every = names + ["size"] * sized
+    ends = [f"{side}{c}" for side in "ab" for c in every]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []  # (rows, 1 + parts + size)
+        rows = 0
+
+        def linked(block: np.ndarray) -> pa.RecordBatch:
+            a, b = forest(block[:, 0], np.ascontiguousarray(block[:, 1 : 1 + len(names)]), block[:, -1] if sized else None, distance, ratio).T
+            return pa.RecordBatch.from_arrays([pa.array(block[side, 1 + i]) for side in (a, b) for i in range(len(every))], ends)
+
         for batch in batches:
-            lists = batch.column(0)
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten()
-            values = np.stack([flat.field(i).to_numpy(zero_copy_only=False) for i in range(len(names))], axis=1)
-            starts = np.cumsum(sizes) - sizes
-            found = [np.empty((0, 2), np.int64)]
-            for size in np.unique(sizes).tolist():
-                alike = starts[sizes == size]
-                if size <= SMALL:
-                    found += within_small_buckets(values, alike, size, distance)
-                else:
-                    found += [within_bucket(values[at : at + size], distance) + at for at in alike.tolist()]
-            a, b = np.concatenate(found).T
-            columns = [values[side, i] for side in (a, b) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ends)
-
-    buckets = probes.groupBy("key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
-    pairs = buckets.mapInArrow(run, ", ".join(f"{c} bigint" for c in ends))
-    return pairs.select(node(names, "a").alias("a"), node(names, "b").alias("b"))
+            held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1 + len(every))], axis=1))
+            rows += batch.num_rows
+            if rows >= ROWS_AT_ONCE:
+                block = np.concatenate(held)
+                cut = int(np.searchsorted(block[:, 0], block[-1, 0]))  # the last bucket may go on
+                if cut:
+                    yield linked(block[:cut])
+                held, rows = [block[cut:].copy()], len(block) - cut
+        if rows:
+            yield linked(np.concatenate(held))
+
+    dealt = probes.select("key", *every).repartition("key").sortWithinPartitions("key", *(["size"] if sized else []))
+    pairs = dealt.mapInArrow(run, ", ".join(f"{c} bigint" for c in ends))
+    cast = pairs.withColumns({f"{side}size": F.col(f"{side}size").cast("int") for side in "ab"}) if sized else pairs
+    return cast.select(node(every, "a").alias("a"), node(every, "b").alias("b"))
 
 
 def grouped(docs: DataFrame, width: int, bits: int, distance: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -280,7 +335,7 @@ def grouped(docs: DataFrame, width: int, bits: int, distance: int, id_col: str,
     found = connected_components(links(nodes.select(*names), bits, distance), "simhash")
     rooted = nodes.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints, materialise(rooted.join(named, "root").select("node", "root", "component_id").distinct(), "simhash-groups")
+    return prints, materialise(rooted.join(named, "root").select("node", "component_id").distinct(), "simhash-groups")
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 3, distance: int = 2, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -295,23 +350,68 @@ def near_duplicate_groups(docs: DataFrame, width: int = 3, distance: int = 2, bi
     return prints.join(groups, "node").select("doc_id", hexed, "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, distance: int = 23, bits: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each near-duplicate group: that of the least id, in a tie (or of null ids only) of the least text hash.
+def alike(a: Column, b: Column, similarity: float) -> Column:
+    """Whether the Jaccard similarity of two sets is at least that; two empty ones are alike."""
+    fits = F.least(F.size(a), F.size(b)) >= F.lit(similarity) * F.greatest(F.size(a), F.size(b)) - 1e-9
+    both = F.size(F.array_intersect(a, b))
+    return F.when(fits, both >= F.lit(similarity) * (F.size(a) + F.size(b) - both) - 1e-9).otherwise(False)
 
-    Texts are near duplicates if at most 23 of the 128 bits of their fingerprints over five-word
-    shingles differ, a likeness of 0.82 or more. Eight partitions with a threshold of 2 each find all
-    of them. All columns stay. Null and empty texts are one group. Null ids and ids that repeat with
-    unlike texts are as good as others: each group keeps a row.
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance: int = 26, bits: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows that are near duplicates of a row that stays; all columns stay.
+
+    Candidates are the groups of texts whose fingerprints (128 bits over five-word shingles) are linked
+    by at most `distance` differing bits and whose numbers of distinct shingles allow the similarity.
+    Within a group the text of the least id (in a tie, or where ids are null, of the least hash) leads:
+    it stays, and every text whose set of shingles has a Jaccard similarity of at least `similarity` to
+    the leader's goes; of what is left the least id leads next, until nothing is left. So a row goes
+    only if a row that stays is that similar to it (hashes of 32 bits, all of them, compared), and no two
+    texts of a group that stay are. Up to LEADERS texts lead in one round; a large group is split, and
+    each part meets copies of the leaders.
+
+    Of equal texts one row stays, that of the least id. Null and empty texts (no shingles) are alike;
+    a null text and an empty one count as two texts with one set. Null ids and ids that repeat with unlike texts
+    are as good as others. Repeated rows leave one. An empty table gives an empty one. Pairs whose
+    fingerprints differ in more bits are not found: see the README for the measured recall.
     """
-    prints, groups = grouped(docs, width, bits, distance, id_col, text_col)
-    placed = prints.join(groups, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    rows = placed.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    kept = materialise(rows.groupBy("root").agg(F.min(F.struct("text_hash", "n", "doc_id")).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__text"), "k.n"), "simhash-kept")
+    names = [*parts_of(bits), "size"]
+    prints = fingerprints(docs, width, bits, id_col, text_col, with_shingles=True).withColumn("node", node(names))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("text"))
+    # One row for each distinct text, reduced before the shuffle: copies, however many, go no further.
+    texts = prints.groupBy("text_hash", "node", *names).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"), F.first("shingles").alias("shingles"))
+    texts = materialise(texts, "simhash-texts")
+    nodes = materialise(texts.select("node", *names).distinct(), "simhash-nodes")
+    found = connected_components(links(nodes.select(*names), bits, distance, ratio=similarity), "simhash")
+    placed = texts.select("node").join(found, "node", "left").select(F.coalesce("root", "node").alias("root"))
+    sizes = materialise(placed.groupBy("root").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "simhash-sizes")
+    salt = F.pmod(F.xxhash64("text_hash"), F.ceil(F.col("k") / GROUP_SPLIT).cast("bigint"))
+    many = texts.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")).join(sizes, "root")
+    left = opened = materialise(many.select("root", salt.alias("salt"), "first", "shingles"), "simhash-open")
+    rounds: list[DataFrame] = []
+    while not left.isEmpty():
+        # The first few of each group in order; of these, one by one, those that are not like one taken before.
+        ranked = left.withColumn("rank", F.row_number().over(Window.partitionBy("root").orderBy("first"))).where(F.col("rank") <= LEADERS)
+        listed = ranked.groupBy("root").agg(F.sort_array(F.collect_list(F.struct("first", "shingles"))).alias("some"))
+        none = F.slice("some", 1, 0)
+        led = listed.select("root", F.aggregate("some", none, lambda taken, x: F.when(F.exists(taken, lambda y: alike(x["shingles"], y["shingles"], similarity)), taken).otherwise(F.concat(taken, F.array(x)))).alias("lead"))
+        salts = left.groupBy("root").agg(F.max("salt").alias("last"))
+        led = led.join(salts, "root").select("root", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("salt"), "lead")
+        like = F.exists("lead", lambda x: alike(F.col("shingles"), x["shingles"], similarity))
+        met = left.join(led, ["root", "salt"]).where(~F.exists("lead", lambda x: x["first"] == F.col("first")))
+        met = materialise(met.select("root", "salt", "first", F.when(~like, F.col("shingles")).alias("shingles")), "simhash-met")
+        rounds.append(met)
+        left = met.where("shingles is not null")
+    kept = texts.select("text_hash", "first", "n")
+    if rounds:
+        gone = reduce(DataFrame.unionByName, [met.where("shingles is null").select(F.col("first.text").alias("text_hash")) for met in rounds])
+        kept = kept.join(gone, "text_hash", "left_anti")
+    kept = materialise(kept.select(F.col("first.id").alias("__id"), F.col("text_hash").alias("__text"), "n"), "simhash-kept")
+    discard(texts, nodes, found, sizes, opened, *rounds)
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(f"`{text_col}`") == F.col("__text"))
-    stay = docs.join(kept, same, "left_semi")
-    twice = kept.where("n > 1")
-    if twice.isEmpty():
+    stay = docs.join(kept.where("n = 1").select("__id", "__text"), same, "left_semi")
+    copied = kept.where("n > 1").select("__id", "__text")
+    if copied.isEmpty():
         return stay
-    single = stay.join(twice, same, "left_anti")
-    repeats = stay.join(twice, same, "left_semi").withColumn("__text", F.xxhash64(f"`{text_col}`")).dropDuplicates([id_col, "__text"]).drop("__text")
-    return single.unionByName(repeats)
+    # Of equal texts under one id, too, a single row.
+    repeats = docs.join(copied, same, "left_semi").withColumn("__text", F.xxhash64(f"`{text_col}`")).dropDuplicates([id_col, "__text"]).drop("__text")
+    return stay.unionByName(repeats)

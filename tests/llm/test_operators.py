@@ -177,22 +177,19 @@ def test_links_through_hot_buckets(spark, bits, distance):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
-def test_small_buckets_connect_what_single_ones_do(monkeypatch):
+@pytest.mark.parametrize("ratio", [0.0, 0.8])
+def test_forest_connects_what_all_pairs_do(monkeypatch, ratio):
     rng = np.random.default_rng(4)
-    monkeypatch.setattr(simhash, "PAIRS_AT_ONCE", 40)
-    for size in (2, 3, 7, 20):
-        values = -rng.integers(1, 33, (size * 9, 2))
-        starts = np.arange(0, size * 9, size)
-        got = np.concatenate(simhash.within_small_buckets(values, starts, size, 2))
-        want = np.concatenate([simhash.within_bucket(values[a : a + size], 2) + a for a in starts])
-        assert (simhash.distance_between(values[got[:, 0]], values[got[:, 1]]) <= 2).all() and (size == 2 or len(want))
-        assert all(np.bincount(got[:, 0] // size, minlength=9) <= size)
-        parts = [list(range(size * 9)), list(range(size * 9))]
-        for part, links in zip(parts, (got, want)):
-            for _ in range(size):
-                for a, b in links.tolist():
-                    part[a] = part[b] = min(part[a], part[b])
-        assert parts[0] == parts[1]
+    monkeypatch.setattr(simhash, "LINKS_AT_ONCE", 40)
+    n = 400
+    key, size = np.sort(rng.integers(0, 9, n)), rng.integers(1, 60, n)
+    order = np.lexsort((size, key))
+    key, size, values = key[order], size[order], -rng.integers(1, 33, (n, 2))
+    got = simhash.forest(key, values, size if ratio else None, 2, ratio)
+    fits = lambda a, b: key[a] == key[b] and (not ratio or min(size[a], size[b]) >= ratio * max(size[a], size[b]))
+    want = [(a, b) for b in range(n) for a in range(b) if fits(a, b) and simhash.distance_between(values[a], values[b]) <= 2]
+    assert len(got) < n and len(want) > len(got)
+    assert np.array_equal(simhash.roots_of(n, *got.T), simhash.roots_of(n, *np.array(want).T))
 
 
 def test_thresholds_cover_the_distance():
@@ -232,6 +229,46 @@ def test_keep_one_of_every_group(spark):
     assert sorted(((r["doc_id"] or 0, r["text"][0]) for r in kept)) == [(0, "a"), (0, "b"), (5, "c"), (5, "d"), (9, "e")]
 
 
+def test_keep_one_against_brute_force(spark):
+    """Near copies of all degrees: nobody goes without a survivor of similarity 0.8, and hardly any pair stays."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for g in range(60):
+        base = [f"g{g}w{k}" for k in rng.integers(0, 10**6, int(rng.integers(60, 500)))]
+        for _ in range(6):
+            own = [w if rng.random() > 0.02 * rng.random() else f"x{rng.integers(0, 10**9)}" for w in base]
+            rows.append((int(rng.integers(0, 10**9)), " ".join(own)))
+    rows += [(None, rows[0][1]), (rows[1][0], rows[1][1]), (5, ""), (6, None), (7, "one two"), (8, "ONE two"), (9, "one two three")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(0) for c in ("root", "salt", "first", "n", "size", "node", "text_hash")})
+    out = simhash.keep_one(frame)
+    assert out.columns == frame.columns
+    kept = {r["text"]: r["doc_id"] for r in out.collect()}
+    sets = {t: {bytes(h) for h in simhash.shingle_hashes(t, 5, 128)} for _, t in rows}
+    like = lambda a, b: 1.0 if not sets[a] | sets[b] else len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    for _, t in rows:
+        assert t in kept or any(like(t, k) >= 0.8 for k in kept)
+    texts_ = list(sets)
+    near = [(a, b) for i, a in enumerate(texts_) for b in texts_[:i] if like(a, b) >= 0.8]
+    assert len(near) > 100 and sum(a in kept and b in kept for a, b in near) <= 0.1 * len(near)
+    assert sum(t in kept for t in (None, "")) == 1 and sum(t in kept for t in ("one two", "ONE two")) == 1 and "one two three" in kept
+    assert kept[rows[0][1]] is not None if rows[0][1] in kept else True
+
+
+def test_leaders_of_a_split_group(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP_SPLIT", 4)
+    monkeypatch.setattr(simhash, "LEADERS", 2)
+    words = [f"w{k}" for k in range(400)]
+    # Steps of 20 words: neighbours are alike, the ends are not; so several rounds with a few leaders.
+    rows = [(i, " ".join(f"n{k}" if k < 20 * i else w for k, w in enumerate(words))) for i in range(16)]
+    kept = sorted(r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), distance=40).collect())
+    sets = [{" ".join(t.split()[k : k + 5]) for k in range(396)} for _, t in rows]
+    want: list[int] = []
+    for i, x in enumerate(sets):
+        if not any(len(x & sets[k]) >= 0.8 * len(x | sets[k]) for k in want):
+            want.append(i)
+    assert kept == want and len(want) > 4
+
+
 # Toxicity
 
 
