@@ -37,7 +37,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.replace_pii(table(spark, sf_dir, "documents"))
+    return surrogates.replace_pii(table(spark, sf_dir, "documents"), surrogates.key_of(spark))
 
 
 def op6_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
