@@ -26,10 +26,10 @@ LONGS = np.iinfo(np.int64)
 
 
 def quantised(table: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """vec_id, q, n, row: floor(scale * x) of each component (beyond a long: the nearest long).
+    """vec_id, q, times, row: floor(scale * x) of each component (beyond a long: the nearest long).
 
-    Vectors null or with null or non-finite parts take no part. Equal rows are counted (n) and come at
-    most k + 1 times, since no answer needs more; `row` tells rows apart.
+    Vectors null or with null or non-finite parts take no part. Equal rows come at most k + 1 times, since
+    no answer needs more; the first of them stands for the others too (times). `row` tells rows apart.
     """
     x = F.col(f"`{vector_col}`")
     sound = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -37,7 +37,9 @@ def quantised(table: DataFrame, k: int, id_col: str = "vec_id", vector_col: str
     q = F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("bigint"))
     counted = kept.select(F.col(f"`{id_col}`").cast("bigint").alias("vec_id"), q.alias("q")).groupBy("vec_id", "q").agg(F.count(F.lit(1)).alias("n"))
     copies = F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(k + 1)).cast("int")))
-    return counted.select("vec_id", "q", "n", copies.alias("copy")).withColumn("row", F.xxhash64("vec_id", "q", "copy"))
+    each = counted.select("vec_id", "q", "n", copies.alias("copy"))
+    times = F.when((F.col("copy") == 1) & (F.col("n") > k + 1), F.col("n") - k).otherwise(F.lit(1).cast("bigint"))
+    return each.select("vec_id", "q", times.alias("times"), F.xxhash64("vec_id", "q", "copy").alias("row"))
 
 
 def choose_pivots(sample: list[np.ndarray], count: int) -> dict[int, np.ndarray]:
@@ -118,9 +120,9 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
                 p = int(gap.argmin())
                 found.append((len(v), p, int(np.searchsorted(cuts[len(v)][p], gap[p])), float(gap[p]), norm, v.tobytes()))
             kinds = [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)] + [pa.array([f[i] for f in found], t) for i, t in enumerate(kinds)], ["row", "vec_id", "n", "size", "pivot", "annulus", "r", "norm", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)] + [pa.array([f[i] for f in found], t) for i, t in enumerate(kinds)], ["row", "vec_id", "times", "size", "pivot", "annulus", "r", "norm", "v"])
 
-    index = materialise(vectors.select("row", "vec_id", "n", "q").mapInArrow(key, "row bigint, vec_id bigint, n bigint, size int, pivot int, annulus int, r double, norm double, v binary"), "topk-index")
+    index = materialise(vectors.select("row", "vec_id", "times", "q").mapInArrow(key, "row bigint, vec_id bigint, times bigint, size int, pivot int, annulus int, r double, norm double, v binary"), "topk-index")
     # One row for each annulus: at most MOST_PIVOTS * ANNULI for each length of vector.
     at = ["size", "pivot", "annulus"]
     rings = index.groupBy(*at).agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.max("norm").alias("norm"), F.count(F.lit(1)).alias("n"))
@@ -163,7 +165,7 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
         for batch in batches:
             blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
-            out = [(), (), ()]
+            out = [np.empty(0, np.int64)] * 3
             for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(blocks)]):
                 if lo == hi:
                     continue
@@ -177,19 +179,16 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
                     ready, held = loaded(pa.Table.from_batches(held)), []
                 if ready is not None:
                     found = search(ready, loaded(pa.Table.from_batches([piece])), k)
-                    out = [np.concatenate((a, b)).astype(np.int64) for a, b in zip(out, found)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in out], ["row", "vec_id", "score"])
+                    out = [np.concatenate((a, b)) for a, b in zip(out, found)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["row", "vec_id", "score"])
 
     blocks = max(len(rings), int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = data.unionByName(queries).repartition(blocks, "block").sortWithinPartitions("block", "kind")
     found = dealt.mapInArrow(expand, "row bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    # Equal query rows have equal answers; each of them gives its own. Only the copies within k + 1 were searched for.
-    copies = asked.select("row", F.col("vec_id").alias("query_id"), F.when(F.col("n") > k + 1, F.col("n") - k).otherwise(1).alias("n"), "v")
-    first = copies.groupBy("query_id", "v").agg(F.min("row").alias("row"), F.max("n").alias("n")) if k else copies
-    times = copies.select("row", "query_id").join(first.select("row", "n"), "row", "left").select("row", "query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("n", F.lit(1).cast("bigint")))).alias("one"))
-    return best.join(times, "row").select("query_id", "rank", F.when(F.col("vec_id") != LONGS.max, F.col("vec_id")).alias("vec_id"), "score")
+    asked = asked.select("row", F.col("vec_id").alias("query_id"), F.explode(F.sequence(F.lit(1).cast("bigint"), "times")).alias("one"))
+    return best.join(asked, "row").select("query_id", "rank", F.when(F.col("vec_id") != LONGS.max, F.col("vec_id")).alias("vec_id"), "score")
 
 
 def upper(q_norm, norm, d, lo, hi):

@@ -536,14 +536,32 @@ def test_top_k_matches_sql(spark):
     assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({pivot_search.ORACLE_SQL})").fetchall())
 
 
-def test_top_k_edges(spark):
+def plain_top_k(rows, k=5):
+    """Every row with a sound vector against every other one, in Python's integers."""
+    clip = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    sound = [(i, [clip(math.floor(256 * float(np.float32(c)))) for c in v]) for i, v in rows if v is not None and all(c is not None and np.isfinite(np.float32(c)) for c in v)]
+    out = []
+    for a, (i, q) in enumerate(sound):
+        if i is not None and i % 50 == 0:
+            scores = sorted((-clip(sum(x * y for x, y in zip(q, v))), math.inf if j is None else j) for b, (j, v) in enumerate(sound) if a != b and len(v) == len(q))
+            out += [(i, rank, None if j == math.inf else j, -s) for rank, (s, j) in enumerate(scores[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def test_top_k_edges(spark, monkeypatch):
     nan = float("nan")
-    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [None, 1.0]), (None, [1.0, 1.0]), (50, [0.5, 0.5]), (7, [1e6, -1e6]), (8, [1.0])]
-    got = pivot_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
-    by = collections.defaultdict(list)
-    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
-        by[r["query_id"]].append((r["vec_id"], r["score"]))
-    assert by[0] == [(7, 256 * 256_000_000), (1, 65536), (2, 65536), (50, 32768)] and [v for v, _ in by[50]] == [0, 1, 2, 7]
+    rng = np.random.default_rng(8)
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [None, 1.0]), (None, [1.0, 1.0]), (50, [0.5, 0.5]), (7, [1e3, -1e3]), (7, [1.0, 0.0]), (8, [1.0]), (100, [])]
+    rows += [(150, [0.25, 0.25])] * 9 + [(9, [float("inf"), 0.0])] + [(i % 70, rng.normal(0, 1, 2).tolist()) for i in range(150)]
+    frame = lambda r: spark.createDataFrame(r, "vec_id long, embedding array<float>").withColumns({c: F.lit("x") for c in ("row", "times", "v", "q", "size", "rank", "score", "n")})
+    answer = lambda r: sorted(map(tuple, pivot_search.top_k(frame(r)).collect()), key=repr)
+    assert answer(rows) == plain_top_k(rows)
+    monkeypatch.setattr(pivot_search, "BLOCK", 16)
+    monkeypatch.setattr(pivot_search, "SLICE", 4)
+    monkeypatch.setattr(pivot_search, "SAMPLE", 40)
+    big = [*rows, (11, [1e30, 1e30]), (12, [-1e30, 1e30]), (200, [3e38, -1.0])]
+    assert answer(big) == plain_top_k(big)
+    assert answer([(0, [1.0]), (7, [1.0]), (7, [3.0])]) == [(0, 1, 7, 196608), (0, 2, 7, 65536)]
     assert pivot_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
