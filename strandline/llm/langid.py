@@ -12,12 +12,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW, HIDDEN, LANES = 64, 8, 1024
-#: Bounds of training: rows of each language (hash sample), bytes taken of a text from a hashed place, steps, windows a step.
-LANG_ROWS, TRAIN_CHARS, STEPS, BATCH = 600, 768, 260, 256
+#: Bounds of training: whole texts of each language (by hash), steps, windows a step.
+LANG_ROWS, STEPS, BATCH = 600, 260, 256
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -157,36 +157,38 @@ class ByteGru:
 
 
 def train(docs: DataFrame, may_learn: Column | None = None, rows: int = LANG_ROWS, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> ByteGru:
-    """Fit on about `rows` texts of each language: those whose hashed id falls under that share of it.
+    """Fit on the `rows` distinct texts of each language whose hashes are least, each as a whole.
 
-    TRAIN_CHARS characters are taken from a hashed place of each. Null languages, texts and ids are
-    left out. The languages are those with rows to learn from, in alphabetical order.
+    Null languages, texts and ids are left out. The languages are those with rows to learn from, in
+    alphabetical order.
     """
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     known = known.where("lang is not null and doc_id is not null")
     if may_learn is not None:
         known = known.where(may_learn)
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    known = known.select("lang", "text", F.xxhash64("text").alias("h"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     langs = sorted(counts)
     if not langs:
         return ByteGru([])
-    share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, rows / n))])[F.col("lang")]
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    offset = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.length("text") - TRAIN_CHARS + 1)).cast("int")
-    sample = known.where("text is not null").where(place < share).select("doc_id", "lang", F.substr("text", offset + 1, F.lit(TRAIN_CHARS)).alias("text"))
-    found = sample.limit(2 * rows * len(langs)).collect()
-    found.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
+    # Few texts are sorted: those whose hashes fall under twice the share of them that is wanted.
+    share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 2 * rows / max(n, 1) + 1e-3 * (n < 10_000)))])[F.col("lang")]
+    place = (F.col("h") / F.lit(2.0**64)) + 0.5
+    few = known.where("text is not null").where((place < share) | (share >= 1.0)).dropDuplicates(["lang", "h"])
+    least = Window.partitionBy("lang").orderBy("h")
+    found = few.withColumn("k", F.row_number().over(least)).where(F.col("k") <= rows).select("lang", "text").collect()
+    found.sort(key=lambda r: (r["lang"], r["text"]))
     x, y, w = [], [], []
     for r in found:
-        raw = r["text"].encode("utf-8", "replace")
-        for at in range(0, len(raw), WINDOW):
-            piece = raw[at : at + WINDOW]
-            x.append(np.frombuffer(piece.ljust(WINDOW), np.uint8))
-            y.append(langs.index(r["lang"]))
-            w.append(np.arange(WINDOW) < len(piece))
+        raw = np.frombuffer(r["text"].encode("utf-8", "replace"), np.uint8)
+        lanes = -(-len(raw) // WINDOW)
+        if lanes:
+            x.append(np.concatenate((raw, np.full(lanes * WINDOW - len(raw), 32, np.uint8))).reshape(lanes, WINDOW))
+            y.append(np.full(lanes, langs.index(r["lang"])))
+            w.append((np.arange(lanes * WINDOW) < len(raw)).reshape(lanes, WINDOW))
     model = ByteGru(langs)
     if x and len(langs) > 1:
-        model.fit(np.stack(x), np.array(y), np.stack(w))
+        model.fit(np.concatenate(x), np.concatenate(y), np.concatenate(w))
     return model
 
 

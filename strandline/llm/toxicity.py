@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"\w+")
 BUCKETS, SEGMENT, SLICE_CHARS, SLICE_TOKENS = 1 << 16, 128, 1 << 20, 1 << 17
-#: Bounds of training: labelled rows of each class, characters of a text, and documents the CRF itself sees of each class.
-CLASS_ROWS, TRAIN_CHARS, CRF_ROWS, STEPS = 1500, 20_000, 400, 30
+#: Bounds of training, in whole labelled rows of each class: those that are looked at, and those of them that the CRF itself sees.
+CLASS_ROWS, CRF_ROWS, STEPS = 1500, 400, 30
 
 
 def features(word: str) -> list[int]:
@@ -102,19 +102,21 @@ def marginals(odds: np.ndarray, first: np.ndarray, start: np.ndarray, step: np.n
     return toxic.T.ravel()[:n], pairs, log_z
 
 
-def copy_groups(texts: list[set[str]], dims: int = 4096, alike: float = 0.25) -> list[int]:
-    """A number for each text, equal for texts that share a quarter of their rarer words (hashed), directly or by others."""
+def copy_groups(texts: list[set[str]], alike: float = 0.25) -> list[int]:
+    """A number for each text, equal for texts that share a quarter of their rarer words, directly or by others."""
     n = len(texts)
     spread = Counter(w for words in texts for w in words)
-    x = np.zeros((n, dims), np.float32)
-    for i, words in enumerate(texts):
-        x[i, [zlib.crc32(w.encode("utf-8", "replace")) % dims for w in words if spread[w] <= max(2, 0.05 * n)]] = 1
-    size = x.sum(axis=1)
-    x[size > dims / 2] = 0  # so long that all dimensions are taken
+    rare = {w: k for k, w in enumerate(w for w, c in spread.items() if c <= max(2, 0.05 * n))}
+    own = [[rare[w] for w in words if w in rare] for words in texts]
+    holders: list[list[int]] = [[] for _ in rare]
+    for i, words in enumerate(own):
+        for k in words:
+            holders[k].append(i)
+    size = np.array([len(words) for words in own])
     group = np.arange(n)
-    for i in range(n):
-        common = x[i:] @ x[i]
-        near = i + np.flatnonzero(common >= alike * np.maximum(size[i:] + size[i] - common, 1))
+    for i, words in enumerate(own):
+        common = np.bincount(np.fromiter((j for k in words for j in holders[k]), np.int64), minlength=n)
+        near = np.flatnonzero((common > 0) & (common >= alike * (size + size[i] - common)))
         if len(near) > 1:
             group[np.isin(group, group[near])] = group[near].min()
     return group.tolist()
@@ -262,7 +264,7 @@ def fit(texts: list[str], toxic: list[int], share: float) -> ToxicModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, class_rows: int = CLASS_ROWS) -> ToxicModel:
-    """Fit on at most class_rows labelled rows of each class, chosen by hashed id, and TRAIN_CHARS characters of each.
+    """Fit on the whole texts of at most class_rows labelled rows of each class, chosen by hashed id; the CRF itself sees CRF_ROWS of either.
 
     may_learn: a condition on doc_id. Null labels and ids are left out; of several labels of an id
     the largest counts; of several texts of an id the least.
@@ -276,9 +278,8 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, c
     if not ids:
         return fit([], [], 0.0)
     wanted = F.broadcast(docs.sparkSession.createDataFrame(ids, "doc_id bigint, toxic int"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    offset = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length(text) - TRAIN_CHARS + 1)).cast("int")
-    rows = docs.select("doc_id", F.substr(text, offset + 1, F.lit(TRAIN_CHARS)).alias("text")).join(wanted, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    rows = docs.select("doc_id", text).join(wanted, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows], counts.get(1, 0) / max(1, sum(counts.values())))
 
