@@ -76,6 +76,76 @@ def test_passages_of_frequent_lines(spark):
     assert all(60 <= r["n_words"] <= 62 and r["same_words"] == 60 for r in out)
 
 
+def test_passages_of_split_halves(spark):
+    """B and C share 64 words, the first half of which stands in A too and the second in D."""
+    rng = np.random.default_rng(7)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    rows, want = [], set()
+    for _ in range(30):
+        shared = words(64)
+        want.add(frozenset((len(rows) + 1, len(rows) + 2)))
+        for held in (shared[:32], shared, shared, shared[32:]):
+            rows.append((len(rows), " ".join([*words(50), *held, *words(50)])))
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {frozenset((r["doc_id"], r["partner_id"])) for r in out} == want
+
+
+def test_passages_against_brute_force(spark):
+    """Exact passages of 70 words in random texts, some of them several times in one: whatever two texts share is covered on one side."""
+    rng = np.random.default_rng(12)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    pool = [words(70) for _ in range(12)]
+    rows = []
+    for i in range(60):
+        parts = [words(int(rng.integers(20, 60)))]
+        for k in rng.choice(12, int(rng.integers(0, 4))):
+            parts += [pool[k], words(int(rng.integers(30, 60)))]
+        rows.append((i, "  ".join(w for part in parts for w in part)))
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = collections.defaultdict(list)
+    for r in out:
+        a, b = rows[r["doc_id"]][1][r["begin"] : r["end"]], rows[r["partner_id"]][1][r["partner_begin"] : r["partner_end"]]
+        assert len(set(a.split()) & set(b.split())) >= 0.8 * 40 and r["n_words"] >= 40
+        spans[r["doc_id"]].append(a)
+        spans[r["partner_id"]].append(b)
+    holders = [[i for i, t in rows if "  ".join(p) in t] for p in pool]
+    for p, held in zip(pool, holders):
+        copies = [(i, rows[i][1].count("  ".join(p))) for i in held]
+        if len(held) > 1:
+            seen = {i: sum("  ".join(p[15:55]) in a for a in spans[i]) for i in held}
+            short = [i for i, n in copies if seen[i] < n]  # only the text that the others are linked to may name one place of several
+            assert len(short) <= 1 and all(seen[i] for i in held)
+    assert not [i for i in spans if not any(i in held and len(held) > 1 for held in holders)]
+
+
+def test_passages_edges(spark, edge):
+    out = passages.repeated_passages(edge)
+    found = out.collect()
+    assert passages.repeated_passages(edge.limit(0)).count() == 0
+    assert all(r["doc_id"] != r["partner_id"] for r in found)
+    text = " ".join(f"v{i}" for i in range(60))
+    other = " ".join(f"u{i}" for i in range(30)) + " " + text
+    rows = [(1, text), (None, text), (None, text), (2, text), (2, text), (None, other), (None, other), (None, None), (5, ""), (6, "a " * 30)]
+    got = sorted(((r["doc_id"], r["partner_id"], r["kind"]) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert [x for x in got if x[2] == "copy"] == [(2, 1, "copy"), (None, 1, "copy")]
+    assert [set(x[:2]) for x in got if x[2] == "passage"] == [{1, None}]
+
+
+@pytest.mark.parametrize("least,rate", [(0.9, 0.05), (0.5, 0.15)])
+def test_recall_of_fuzzy_passages(spark, least, rate):
+    """100 words with random substitutions; the README has the figures of more lengths and rates."""
+    rng = np.random.default_rng(3)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    rows = []
+    for _ in range(60):
+        shared = words(100)
+        for _ in range(2):
+            rows.append((len(rows), " ".join([*words(40), *(w if rng.random() > rate / 2 else "x" + w for w in shared), *words(40)])))
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), identity=0.7).collect()
+    pairs = {frozenset((r["doc_id"], r["partner_id"])) for r in out}
+    assert all(max(p) - min(p) == 1 and min(p) % 2 == 0 for p in pairs) and len(pairs) >= least * 60
+
+
 def test_chain_is_best():
     a, b = np.array([0, 5, 10, 20, 30]), np.array([100, 105, 7, 120, 130])
     assert passages.chains(a, b)[0] == [0, 1, 3, 4]
