@@ -152,7 +152,7 @@ class ToxicModel:
 class Odds(dict):
     """Log odds by word, filled as words come; bounded."""
 
-    def __init__(self, weights: np.ndarray, most: int = 500_000):
+    def __init__(self, weights: np.ndarray, most: int = 200_000):
         self.weights, self.most = weights, most
 
     def __missing__(self, word: str) -> float:
