@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import frugal
+
 #: Fixed: the word pattern of the public byte-level vocabulary.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -46,7 +48,7 @@ def byte_alphabet() -> dict[str, int]:
 class TrieEncoder:
     """Encoder and decoder for a byte-level BPE vocabulary file of the tokenizers library."""
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 120_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         byte = byte_alphabet()
@@ -115,7 +117,7 @@ class TrieEncoder:
     def _is_stable(self, left: int, right: int) -> bool:
         known = self.stable.get((left, right))
         if known is None:
-            if len(self.stable) > 1_000_000:
+            if len(self.stable) > 250_000:
                 self.stable.clear()
             known = self.stable[left, right] = not self._crosses(left, right)
         return known
@@ -223,17 +225,14 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", k
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [t or "" for t in part.column(len(keep)).to_pylist()]
-                coded = encoder.encode_many(texts)
-                columns = [part.column(i) for i in range(len(keep))]
-                columns.append(pa.array([i.count(",") + 1 if i else 0 for i, _ in coded], pa.int64()))
-                columns.append(pa.array([hashlib.sha256(i.encode()).hexdigest() for i, _ in coded], pa.string()))
-                columns.append(pa.array([hashlib.sha256(d.encode("utf-8", "replace")).hexdigest() for _, d in coded], pa.string()))
-                if with_ids:
-                    columns.append(pa.array([list(map(int, i.split(","))) if i else [] for i, _ in coded], pa.list_(pa.int32())))
-                names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * with_ids]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    return docs.select(*[F.col(f"`{c}`") for c in fields]).mapInArrow(run, out_types)
+            coded = encoder.encode_many([t or "" for t in batch.column(len(keep)).to_pylist()])
+            columns = [batch.column(i) for i in range(len(keep))]
+            columns.append(pa.array([i.count(",") + 1 if i else 0 for i, _ in coded], pa.int64()))
+            columns.append(pa.array([hashlib.sha256(i.encode()).hexdigest() for i, _ in coded], pa.string()))
+            columns.append(pa.array([hashlib.sha256(d.encode("utf-8", "replace")).hexdigest() for _, d in coded], pa.string()))
+            if with_ids:
+                columns.append(pa.array([list(map(int, i.split(","))) if i else [] for i, _ in coded], pa.list_(pa.int32())))
+            names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * with_ids]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.select(*[F.col(f"`{c}`") for c in fields]).mapInArrow(frugal(run, 512), out_types)

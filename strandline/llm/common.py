@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,3 +90,22 @@ def crc_fold(column: str, modulus: int) -> Column:
 def unit_hash(*parts: Column) -> Column:
     """A number in [0, 1) from the first 52 bits of an MD5; DuckDB computes the same from the same text."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = 1024) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run on pieces of at most `rows` rows; what the task has freed goes back to the system when it ends.
+
+    Python workers outlive their tasks, so what one stage leaves in their heaps would be missing in the next.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return whole

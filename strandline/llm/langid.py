@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import frugal
+
 WINDOW, HIDDEN, LANES = 64, 8, 1024
 #: Bounds of training: whole texts of each language (by hash), steps, windows a step.
 LANG_ROWS, STEPS, BATCH = 600, 260, 256
@@ -203,17 +205,15 @@ def identify(docs: DataFrame, model: ByteGru, keep: tuple[str, ...] = ("doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                texts = part.column(len(keep)).to_pylist()
-                useful = [i for i, t in enumerate(texts) if t and model.langs and LETTER.search(t)]
-                langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-                if useful:
-                    p = model.documents([texts[i].encode("utf-8", "replace") for i in useful])
-                    for i, row in zip(useful, p):
-                        k = int(row.argmax())
-                        langs[i], scores[i] = model.langs[k], min(1.0, float(row[k]))
-                columns = [part.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
-
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col)).mapInArrow(run, out)
+            texts = batch.column(len(keep)).to_pylist()
+            useful = [i for i, t in enumerate(texts) if t and model.langs and LETTER.search(t)]
+            langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+            if useful:
+                p = model.documents([texts[i].encode("utf-8", "replace") for i in useful])
+                for i, row in zip(useful, p):
+                    k = int(row.argmax())
+                    langs[i], scores[i] = model.langs[k], min(1.0, float(row[k]))
+            columns = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
+
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col)).mapInArrow(frugal(run), out)

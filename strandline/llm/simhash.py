@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialise
+from .common import discard, frugal, materialise
 from .graph import connected_components
 
 #: Relative cost of writing one probe row and of verifying one candidate pair.
@@ -76,26 +76,24 @@ def fingerprints(docs: DataFrame, width: int = 3, bits: int = 64, id_col: str =
     out = ["doc_id", "text_hash", *names] + ["shingles", "size"] * with_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                raw, sets = [], []
-                for t in batch.column(1):
-                    hashes = shingle_hashes(t.as_py(), width, bits)
-                    raw.append(fingerprint(hashes))
-                    if with_shingles:
-                        sets.append(np.unique(np.ascontiguousarray(hashes[:, :4]).view(np.int32).ravel()))
-                found = np.frombuffer(b"".join(raw), ">i8").reshape(-1, len(names)).astype(np.int64)
-                columns = [batch.column(0), batch.column(2), *(pa.array(found[:, i]) for i in range(len(names)))]
+        for batch in batches:
+            raw, sets = [], []
+            for t in batch.column(1):
+                hashes = shingle_hashes(t.as_py(), width, bits)
+                raw.append(fingerprint(hashes))
                 if with_shingles:
-                    sizes = np.array([len(x) for x in sets], np.int32)
-                    ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-                    columns += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets))), pa.array(sizes)]
-                yield pa.RecordBatch.from_arrays(columns, out)
+                    sets.append(np.unique(np.ascontiguousarray(hashes[:, :4]).view(np.int32).ravel()))
+            found = np.frombuffer(b"".join(raw), ">i8").reshape(-1, len(names)).astype(np.int64)
+            columns = [batch.column(0), batch.column(2), *(pa.array(found[:, i]) for i in range(len(names)))]
+            if with_shingles:
+                sizes = np.array([len(x) for x in sets], np.int32)
+                ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+                columns += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets))), pa.array(sizes)]
+            yield pa.RecordBatch.from_arrays(columns, out)
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash bigint, " + ", ".join(f"{c} bigint" for c in names) + ", shingles array<int>, size int" * with_shingles
-    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.xxhash64(f"`{text_col}`")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.xxhash64(f"`{text_col}`")).mapInArrow(frugal(run), schema)
 
 
 def bit_statistics(distinct: DataFrame, bits: int) -> tuple[int, np.ndarray]:
@@ -322,7 +320,7 @@ def verified(probes: DataFrame, bits: int, distance: int, ratio: float) -> DataF
             yield linked(np.concatenate(held))
 
     dealt = probes.select("key", *every).repartition("key").sortWithinPartitions("key", *(["size"] if sized else []))
-    pairs = dealt.mapInArrow(run, ", ".join(f"{c} bigint" for c in ends))
+    pairs = dealt.mapInArrow(frugal(run, 1 << 16), ", ".join(f"{c} bigint" for c in ends))
     cast = pairs.withColumns({f"{side}size": F.col(f"{side}size").cast("int") for side in "ab"}) if sized else pairs
     return cast.select(node(every, "a").alias("a"), node(every, "b").alias("b"))
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import frugal
+
 TOKEN = re.compile(r"\w+")
 BUCKETS, SEGMENT, SLICE_CHARS, SLICE_TOKENS = 1 << 16, 128, 1 << 20, 1 << 17
 #: Bounds of training, in whole labelled rows of each class: those that are looked at, and those of them that the CRF itself sees.
@@ -324,4 +326,4 @@ def score_documents(docs: DataFrame, model: ToxicModel, keep: tuple[str, ...] =
             columns += [pa.array(np.concatenate(scores) if scores else np.empty(0)), pa.array(spans, span)]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "score", "spans"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col)).mapInArrow(run, out)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col)).mapInArrow(frugal(run), out)
