@@ -41,7 +41,9 @@ NARROW = 3
 #: Rows that are verified at once, and links that are held before they are reduced to a forest.
 ROWS_AT_ONCE, LINKS_AT_ONCE = 1 << 17, 1 << 20
 #: Distinct texts of a group that one task compares with leaders of the group, and texts that may become leaders in one round.
-GROUP_SPLIT, LEADERS = 4096, 16
+GROUP_SPLIT, LEADERS = 4096, 256
+#: Shingles that the leaders of one round hold together, if they are more than one.
+LEADING = 1 << 20
 
 
 def shingle_hashes(text: str | None, width: int, bits: int = 64) -> np.ndarray:
@@ -71,9 +73,9 @@ def parts_of(bits: int) -> list[str]:
 
 
 def fingerprints(docs: DataFrame, width: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text", with_shingles: bool = False) -> DataFrame:
-    """(doc_id, text_hash, f0 ..): null and empty texts have zero. with_shingles: also the distinct shingles, as hashes of 32 bits, and their number."""
+    """(doc_id, text_hash, f0 ..): null and empty texts have zero. with_shingles: also the distinct shingles, as hashes of 32 bits, their number and a set of 64 bits that they fall on."""
     names = parts_of(bits)
-    out = ["doc_id", "text_hash", *names] + ["shingles", "size"] * with_shingles
+    out = ["doc_id", "text_hash", *names] + ["shingles", "size", "sig"] * with_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,11 +90,12 @@ def fingerprints(docs: DataFrame, width: int = 3, bits: int = 64, id_col: str =
             if with_shingles:
                 sizes = np.array([len(x) for x in sets], np.int32)
                 ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-                columns += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets))), pa.array(sizes)]
+                marks = np.array([np.bitwise_or.reduce(np.uint64(1) << (x & 63).astype(np.uint64)) if len(x) else np.uint64(0) for x in sets], np.uint64)
+                columns += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets))), pa.array(sizes), pa.array(marks.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, out)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, text_hash bigint, " + ", ".join(f"{c} bigint" for c in names) + ", shingles array<int>, size int" * with_shingles
+    schema = f"doc_id {kind}, text_hash bigint, " + ", ".join(f"{c} bigint" for c in names) + ", shingles array<int>, size int, sig bigint" * with_shingles
     return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.xxhash64(f"`{text_col}`")).mapInArrow(frugal(run), schema)
 
 
@@ -197,12 +200,14 @@ def roots_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def forest(key: np.ndarray, values: np.ndarray, size: np.ndarray | None, distance: int, ratio: float) -> np.ndarray:
+def forest(key: np.ndarray, values: np.ndarray, size: np.ndarray | None, distance: int, ratio: float, sig: np.ndarray | None = None) -> np.ndarray:
     """(n, 2) indexes: a spanning forest of the links among the members of each bucket.
 
     Rows are sorted by key, and with a ratio by size. Each row is compared with the next, the next but
     one and so on, all rows in one step, while there is a further member (of a size that fits: of two
     sets of a similarity of at least `ratio` the smaller has at least `ratio` times the other's size).
+    sig: sets of 64 bits that the members' sets fall on; they differ in no more bits than the sets in
+    members, which is at most (1 - ratio) / (1 + ratio) of both sizes. That tells short texts apart.
     """
     n = len(key)
     bucket = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
@@ -223,6 +228,9 @@ def forest(key: np.ndarray, values: np.ndarray, size: np.ndarray | None, distanc
         if not len(left):
             return np.stack((links_a, links_b), axis=1)
         near = left[distance_between(values[left], values[left + step]) <= distance]
+        if sig is not None:
+            apart = np.bitwise_count((sig[near] ^ sig[near + step]).view(np.uint64))
+            near = near[apart <= (1 - ratio) / (1 + ratio) * (size[near] + size[near + step]) + 1e-9]
         if len(near):
             held_a.append(near)
             held_b.append(near + step)
@@ -249,9 +257,9 @@ def admissible_share(distinct: DataFrame, ratio: float) -> float:
 def links(distinct: DataFrame, bits: int, distance: int, bucket_limit: int = 8192, ratio: float = 0.0) -> DataFrame:
     """(a, b): node numbers (see node) of links that connect whatever lies within `distance` bits.
 
-    With a ratio, distinct has a column size too, and only pairs whose sizes are within it are looked at.
+    With a ratio, distinct has columns size and sig too, and only pairs that these allow are linked.
     """
-    names = parts_of(bits) + ["size"] * (ratio > 0)
+    names = parts_of(bits) + ["size", "sig"] * (ratio > 0)
     n, both = bit_statistics(distinct, bits)
     plan = plan_partitions(n, both, distance, admissible_share(distinct, ratio) if ratio else 1.0)
     entries = [probe_keys(k, group, (t + 1) // 2, bits) for k, (group, t) in enumerate(plan)]
@@ -296,15 +304,15 @@ def node(names: list[str], prefix: str = "") -> Column:
 def verified(probes: DataFrame, bits: int, distance: int, ratio: float) -> DataFrame:
     """Links within the buckets of equal keys. Buckets stream by in the order of their keys; a task holds ROWS_AT_ONCE rows and one bucket."""
     names, sized = parts_of(bits), ratio > 0
-    every = names + ["size"] * sized
+    every = names + ["size", "sig"] * sized
     ends = [f"{side}{c}" for side in "ab" for c in every]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []  # (rows, 1 + parts + size)
+        held: list[np.ndarray] = []  # (rows, 1 + parts + size and sig)
         rows = 0
 
         def linked(block: np.ndarray) -> pa.RecordBatch:
-            a, b = forest(block[:, 0], np.ascontiguousarray(block[:, 1 : 1 + len(names)]), block[:, -1] if sized else None, distance, ratio).T
+            a, b = forest(block[:, 0], np.ascontiguousarray(block[:, 1 : 1 + len(names)]), block[:, -2] if sized else None, distance, ratio, np.ascontiguousarray(block[:, -1]) if sized else None).T
             return pa.RecordBatch.from_arrays([pa.array(block[side, 1 + i]) for side in (a, b) for i in range(len(every))], ends)
 
         for batch in batches:
@@ -359,12 +367,13 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance:
     """docs without the rows that are near duplicates of a row that stays; all columns stay.
 
     Candidates are the groups of texts whose fingerprints (128 bits over five-word shingles) are linked
-    by at most `distance` differing bits and whose numbers of distinct shingles allow the similarity.
+    by at most `distance` differing bits and whose numbers of distinct shingles, and the 64 bits that these
+    fall on, allow the similarity.
     Within a group the text of the least id (in a tie, or where ids are null, of the least hash) leads:
     it stays, and every text whose set of shingles has a Jaccard similarity of at least `similarity` to
     the leader's goes; of what is left the least id leads next, until nothing is left. So a row goes
     only if a row that stays is that similar to it (hashes of 32 bits, all of them, compared), and no two
-    texts of a group that stay are. Up to LEADERS texts lead in one round; a large group is split, and
+    texts of a group that stay are. Up to LEADERS texts of LEADING shingles lead in one round; a large group is split, and
     each part meets copies of the leaders.
 
     Of equal texts one row stays, that of the least id. Null and empty texts (no shingles) are alike;
@@ -372,7 +381,7 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance:
     are as good as others. Repeated rows leave one. An empty table gives an empty one. Pairs whose
     fingerprints differ in more bits are not found: see the README for the measured recall.
     """
-    names = [*parts_of(bits), "size"]
+    names = [*parts_of(bits), "size", "sig"]
     prints = fingerprints(docs, width, bits, id_col, text_col, with_shingles=True).withColumn("node", node(names))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("text"))
     # One row for each distinct text, reduced before the shuffle: copies, however many, go no further.
@@ -388,7 +397,9 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance:
     rounds: list[DataFrame] = []
     while not left.isEmpty():
         # The first few of each group in order; of these, one by one, those that are not like one taken before.
-        ranked = left.withColumn("rank", F.row_number().over(Window.partitionBy("root").orderBy("first"))).where(F.col("rank") <= LEADERS)
+        in_order = Window.partitionBy("root").orderBy("first")
+        ranked = left.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= LEADERS)
+        ranked = ranked.withColumn("held", F.sum(F.size("shingles")).over(in_order)).where((F.col("held") <= LEADING) | (F.col("rank") == 1))
         listed = ranked.groupBy("root").agg(F.sort_array(F.collect_list(F.struct("first", "shingles"))).alias("some"))
         none = F.slice("some", 1, 0)
         led = listed.select("root", F.aggregate("some", none, lambda taken, x: F.when(F.exists(taken, lambda y: alike(x["shingles"], y["shingles"], similarity)), taken).otherwise(F.concat(taken, F.array(x)))).alias("lead"))

@@ -309,7 +309,7 @@ def test_keep_one_against_brute_force(spark):
             own = [w if rng.random() > 0.02 * rng.random() else f"x{rng.integers(0, 10**9)}" for w in base]
             rows.append((int(rng.integers(0, 10**9)), " ".join(own)))
     rows += [(None, rows[0][1]), (rows[1][0], rows[1][1]), (5, ""), (6, None), (7, "one two"), (8, "ONE two"), (9, "one two three")]
-    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(0) for c in ("root", "salt", "first", "n", "size", "node", "text_hash")})
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(0) for c in ("root", "salt", "first", "n", "size", "sig", "node", "text_hash")})
     out = simhash.keep_one(frame)
     assert out.columns == frame.columns
     kept = {r["text"]: r["doc_id"] for r in out.collect()}
