@@ -32,10 +32,11 @@ def conflicts(df: DataFrame, code: str, begin: str, end: str, flag: str, columns
     ).where("b <= e")
     cuts = rows.select("code", F.explode(F.array(F.col("b"), F.date_add("e", 1))).alias("p")).distinct()
     segments = cuts.withColumn("nxt", F.lead("p").over(Window.partitionBy("code").orderBy("p"))).where("nxt is not null").select("code", F.col("p").alias("st"), F.date_sub("nxt", 1).alias("en"))
-    active = segments.join(rows, "code").where("b <= st and en <= e")
-    best = F.max(F.struct("key", "flag"))
-    top = active.groupBy("code", "st", "en").agg(best.alias("best"), F.count(F.lit(1)).alias("n"), F.collect_list(F.struct(F.struct("key", "flag").alias("rank"), "claim")).alias("all"))
-    tied = top.where("n > 1").select("code", "st", "en", F.transform(F.filter("all", lambda x: x["rank"] == F.col("best")), lambda x: x["claim"]).alias("claims"))
+    active = segments.join(rows, "code").where("b <= st and en <= e").withColumn("rank", F.struct("key", "flag"))
+    # A running maximum over the rows of a segment, so that the losers are never gathered.
+    top = active.groupBy("code", "st", "en").agg(F.max("rank").alias("rank"))
+    winners = active.join(top, ["code", "st", "en", "rank"]).groupBy("code", "st", "en").agg(F.collect_list("claim").alias("claims"))
+    tied = winners.where("size(claims) > 1")
     differ = [_differs(name) for name in columns]
     found = tied.select("code", "st", "en", F.size("claims").cast("bigint").alias("n_tied"), F.concat_ws(",", *differ).alias("differs"))
     return found.where("n_tied > 1 and differs <> ''")

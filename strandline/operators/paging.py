@@ -26,10 +26,9 @@ def pages(df: DataFrame, key: str, limit: int, overlap: int) -> DataFrame:
 def page_statistics(paged: DataFrame, columns: list[str]) -> DataFrame:
     """pages, raw, uniq, cross_page_duplicates, removed."""
     by_page = paged.groupBy("page", *columns).agg(F.count(F.lit(1)).alias("n"))
-    by_row = by_page.groupBy(*columns).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_pages"))
-    total = by_row.agg(F.sum("n").cast("bigint").alias("raw"), F.count(F.lit(1)).alias("uniq"), F.sum("on_pages").cast("bigint").alias("page_uniq"))
-    number = paged.agg((F.max("page") + 1).cast("bigint").alias("pages"))
-    return total.join(F.broadcast(number)).select("pages", "raw", "uniq", (F.col("page_uniq") - F.col("uniq")).alias("cross_page_duplicates"), (F.col("raw") - F.col("uniq")).alias("removed"))
+    by_row = by_page.groupBy(*columns).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_pages"), F.max("page").alias("last"))
+    total = by_row.agg(F.sum("n").cast("bigint").alias("raw"), F.count(F.lit(1)).alias("uniq"), F.sum("on_pages").cast("bigint").alias("page_uniq"), (F.max("last") + 1).cast("bigint").alias("pages"))
+    return total.select("pages", "raw", "uniq", (F.col("page_uniq") - F.col("uniq")).alias("cross_page_duplicates"), (F.col("raw") - F.col("uniq")).alias("removed"))
 
 
 def page_fingerprints(paged: DataFrame, columns: list[str]) -> DataFrame:

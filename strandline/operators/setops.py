@@ -30,9 +30,13 @@ def set_difference(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def set_diff_counts(old: DataFrame, new: DataFrame) -> DataFrame:
-    both = signed_counts(old, new)
-    sides = F.explode(F.filter(F.array(F.when(F.col("__a") == 0, "added"), F.when(F.col("__b") == 0, "removed")), lambda s: s.isNotNull())).alias("side")
-    return both.select(sides).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    """side, n: distinct rows added and removed, one row for each side, also of none."""
+    if same_shape(old, new):
+        totals = signed_counts(old, new).agg(F.count_if(F.col("__a") == 0).alias("added"), F.count_if(F.col("__b") == 0).alias("removed"))
+    else:
+        totals = new.distinct().agg(F.count(F.lit(1)).alias("added")).unionByName(old.distinct().agg(F.count(F.lit(1)).alias("removed")), allowMissingColumns=True).agg(F.max("added").alias("added"), F.max("removed").alias("removed"))
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("n")) for s in ("added", "removed")])
+    return totals.select(F.explode(sides).alias("x")).select("x.side", "x.n")
 
 
 def change_summary(old: DataFrame, new: DataFrame) -> DataFrame:

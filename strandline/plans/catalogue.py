@@ -86,12 +86,12 @@ def column_pruned_scan(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderdate")
 
 
-@query()
+@query("SELECT count(*) AS n FROM orders")
 def directory_count(spark, sf_dir):
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{sf_dir}/orders.parquet").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("SELECT 'lineitem.parquet' AS file, count(*) AS n FROM lineitem")
 def per_file_counts(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
 

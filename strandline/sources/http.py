@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import email.utils
+import hashlib
 import json
 import random
 import threading
@@ -101,7 +102,7 @@ class Client:
             names, rows = self.page(api, fields, params | {"limit": limit, "offset": offset})
             if len(rows) > limit:
                 raise SourceSchemaError(f"{api}: {len(rows)} rows where {limit} were asked for")
-            print_ = hash(json.dumps(rows, ensure_ascii=False, default=str))
+            print_ = hashlib.sha256(json.dumps(rows, ensure_ascii=False, default=str).encode("utf-8", "replace")).digest()
             if rows and print_ in seen:
                 raise SourceSchemaError(f"{api}: page at {offset} repeats an earlier one")
             seen.add(print_)
