@@ -25,7 +25,7 @@ def test_stages(spark):
     assert all(r["doc_id"] == min(by_text[r["text"]]) for r in rows)
     safe = corpus_pipeline.replace_personal_data(spark, single, SF).cache()
     assert safe.count() == len(rows) and safe.columns == docs.columns
-    assert {r["doc_id"]: r["text"] for r in safe.collect()} == {r["doc_id"]: r["text"] for r in surrogates.replace_pii(single).collect()}
+    assert {r["doc_id"]: r["text"] for r in safe.collect()} == {r["doc_id"]: r["text"] for r in surrogates.replace_pii(single, surrogates.TRIAL_KEY).collect()}
     mixed = corpus_pipeline.mix(spark, safe, SF).cache()
     assert mixed.count() == mixing.mix_sources(safe).count()
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
