@@ -36,6 +36,8 @@ from .graph import connected_components
 
 #: Relative cost of writing one probe row and of verifying one candidate pair.
 PROBE_COST, PAIR_COST = 100.0, 1.0
+#: Fewer fingerprints are planned for as if they were so many: the plan, and what a row costs, do not jump as a table grows.
+PLANNED = 1 << 20
 #: Up to this distance a bucket that is too large is split by further partitions.
 NARROW = 3
 #: Rows that are verified at once, and links that are held before they are reduced to a forest.
@@ -153,9 +155,13 @@ def meetings(n: int, both: np.ndarray, group: list[int], radius: int) -> float:
 
 
 def plan_partitions(n: int, both: np.ndarray, distance: int, share: float = 1.0) -> list[tuple[list[int], int]]:
-    """[(bits, threshold)]: the cheapest allotment over 1 .. distance + 1 partitions. share: that of pairs which are looked at."""
+    """[(bits, threshold)]: the cheapest allotment over 1 .. distance + 1 partitions, for PLANNED fingerprints or more.
+
+    share: that of pairs which are looked at. An empty table, too, has costs, so that no plan has more probes than could be listed.
+    """
     best: tuple[float, list[tuple[list[int], int]]] | None = None
-    n = max(n, 1)  # of nothing every plan would cost nothing, also one with more probes than could be listed
+    both = both * (max(n, PLANNED) / max(n, 1))
+    n = max(n, PLANNED)
     for parts in range(1, distance + 2):
         groups = group_bits(n, both, parts)
         table = {0: (0.0, [])}  # sum of (threshold + 1) so far -> cost, thresholds
