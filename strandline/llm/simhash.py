@@ -10,12 +10,16 @@
    as both sides do so, they meet in a bucket. Probes are dealt by key and sorted, so buckets stream by;
    each is verified on all bits, many small ones at once. Where a similarity is the goal, a bucket is also
    sorted by the number of distinct shingles, and only pairs whose numbers allow that similarity are looked at.
+   Rows that already hang together with all that they have yet to meet are passed over.
 4. A bucket emits a spanning forest of its links (at most one link a member), never all pairs. A
    bucket over `bucket_limit` members is split: for small d by the plain pigeonhole on the bits not
    used so far, else into blocks that meet two by two; so no bucket is truncated and no task gets an
    unbounded one.
 5. Links become groups by distributed contraction (graph.py).
-6. keep_one verifies on the shingles themselves before a row goes (see there).
+6. keep_one, whose distance is too wide for partitions (the pairs that meet in them grow with the square of
+   the table), has its own pigeonhole: of two sets of shingles with the similarity, each sorted in one order,
+   the first ones meet (see leading_shingles). These are its buckets; 3 to 5 hold for them too. It verifies
+   on the shingles themselves before a row goes (see there).
 """
 
 from __future__ import annotations
@@ -43,9 +47,12 @@ NARROW = 3
 #: Rows that are verified at once, and links that are held before they are reduced to a forest.
 ROWS_AT_ONCE, LINKS_AT_ONCE = 1 << 17, 1 << 20
 #: Distinct texts of a group that one task compares with leaders of the group, and texts that may become leaders in one round.
-GROUP_SPLIT, LEADERS = 4096, 256
+GROUP_SPLIT, LEADERS = 4096, 1024
 #: Shingles that the leaders of one round hold together, if they are more than one.
 LEADING = 1 << 20
+#: Texts of which the frequent shingles are told, how many of these texts have one at least, and the most that are told.
+#: They only order the shingles: what is found does not depend on them, only the sizes of buckets do.
+COUNTED, FREQUENT, TOLD = 1 << 14, 3, 1 << 18
 
 
 def shingle_hashes(text: str | None, width: int, bits: int = 64) -> np.ndarray:
@@ -154,10 +161,10 @@ def meetings(n: int, both: np.ndarray, group: list[int], radius: int) -> float:
     return float(np.dot(chance[: most + 1], common))
 
 
-def plan_partitions(n: int, both: np.ndarray, distance: int, share: float = 1.0) -> list[tuple[list[int], int]]:
+def plan_partitions(n: int, both: np.ndarray, distance: int) -> list[tuple[list[int], int]]:
     """[(bits, threshold)]: the cheapest allotment over 1 .. distance + 1 partitions, for PLANNED fingerprints or more.
 
-    share: that of pairs which are looked at. An empty table, too, has costs, so that no plan has more probes than could be listed.
+    An empty table, too, has costs, so that no plan has more probes than could be listed.
     """
     best: tuple[float, list[tuple[list[int], int]]] | None = None
     both = both * (max(n, PLANNED) / max(n, 1))
@@ -166,7 +173,7 @@ def plan_partitions(n: int, both: np.ndarray, distance: int, share: float = 1.0)
         groups = group_bits(n, both, parts)
         table = {0: (0.0, [])}  # sum of (threshold + 1) so far -> cost, thresholds
         for group in groups:
-            price = [PROBE_COST * n * sum(comb(len(group), r) for r in range(radius + 1)) + share * PAIR_COST * n * n / 2 * meetings(n, both, group, radius) for radius in range((distance + 1) // 2 + 1)]
+            price = [PROBE_COST * n * sum(comb(len(group), r) for r in range(radius + 1)) + PAIR_COST * n * n / 2 * meetings(n, both, group, radius) for radius in range((distance + 1) // 2 + 1)]
             grown: dict[int, tuple[float, list[int]]] = {}
             for used, (cost, chosen) in table.items():
                 for t in range(-1, distance - used + 1):
@@ -216,6 +223,8 @@ def forest(key: np.ndarray, values: np.ndarray, size: np.ndarray | None, distanc
     members, which is at most (1 - ratio) / (1 + ratio) of both sizes. That tells short texts apart.
     """
     n = len(key)
+    if not n:
+        return np.empty((0, 2), np.int64)
     bucket = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
     if size is None:
         stop = np.searchsorted(bucket, bucket, "right")
@@ -227,10 +236,13 @@ def forest(key: np.ndarray, values: np.ndarray, size: np.ndarray | None, distanc
     while True:
         step += 1
         left = left[left + step < stop[left]]
-        if held and (not len(left) or held > LINKS_AT_ONCE):
+        if held and (not len(left) or held > LINKS_AT_ONCE or step & (step - 1) == 0):
             root = roots_of(n, np.concatenate([links_a, *held_a]), np.concatenate([links_b, *held_b]))
             links_b = np.flatnonzero(root != np.arange(n))
             links_a, held_a, held_b, held = root[links_b], [], [], 0
+            # A row that already hangs together with all that it has yet to meet adds nothing.
+            ends = np.append(np.flatnonzero(root[1:] != root[:-1]) + 1, n)
+            left = left[stop[left] > ends[np.searchsorted(ends, left, "right")]]
         if not len(left):
             return np.stack((links_a, links_b), axis=1)
         near = left[distance_between(values[left], values[left + step]) <= distance]
@@ -252,43 +264,25 @@ def probe_keys(k: int, group: list[int], radius: int, bits: int) -> Column:
     return F.transform(patterns, lambda x: F.struct(F.lit(k).alias("part"), F.xxhash64(F.lit(k), *value(x)).alias("key")))
 
 
-def admissible_share(distinct: DataFrame, ratio: float) -> float:
-    """Share of pairs whose sizes are within the ratio, from the counts of sizes in bands of a twentieth of it."""
-    step = -np.log(ratio) / 20
-    bands = distinct.groupBy(F.floor(F.log(F.greatest("size", F.lit(1))) / step).alias("band")).count().collect()
-    at, n = np.array([r["band"] for r in bands]), np.array([r["count"] for r in bands], float)
-    return float((n[:, None] * n[None, :] * (np.abs(at[:, None] - at[None, :]) <= 20)).sum() / max(1.0, n.sum() ** 2)) if len(n) else 1.0
-
-
-def links(distinct: DataFrame, bits: int, distance: int, bucket_limit: int = 8192, ratio: float = 0.0) -> DataFrame:
-    """(a, b): node numbers (see node) of links that connect whatever lies within `distance` bits.
-
-    With a ratio, distinct has columns size and sig too, and only pairs that these allow are linked.
-    """
-    names = parts_of(bits) + ["size", "sig"] * (ratio > 0)
+def links(distinct: DataFrame, bits: int, distance: int, bucket_limit: int = 8192) -> DataFrame:
+    """(a, b): node numbers (see node) of links that connect whatever lies within `distance` bits."""
+    names = parts_of(bits)
     n, both = bit_statistics(distinct, bits)
-    plan = plan_partitions(n, both, distance, admissible_share(distinct, ratio) if ratio else 1.0)
+    plan = plan_partitions(n, both, distance)
     entries = [probe_keys(k, group, (t + 1) // 2, bits) for k, (group, t) in enumerate(plan)]
     probes = distinct.select(*names, F.explode(F.concat(*entries)).alias("p")).select(*names, "p.part", "p.key")
     used = {k: set(group) for k, (group, _) in enumerate(plan)}
     out: DataFrame | None = None
     while True:
-        hot = materialise(probes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_limit), "simhash-hot")
-        some = not hot.isEmpty()
-        cold = probes.join(hot, "key", "left_anti") if some else probes
-        found = verified(cold, bits, distance, ratio)
+        found, hot = cold_links(probes, bits, distance, bucket_limit)
         out = found if out is None else out.unionByName(found)
-        if not some:
+        if hot is None:
             return out
         left = {k: sorted(set(range(bits)) - group) for k, group in used.items()}
         if distance > NARROW:
-            blocks = F.ceil(F.col("n") * 2 / bucket_limit).cast("int")
-            mine = F.pmod(F.xxhash64(*names), blocks.cast("bigint")).cast("int")
-            met = probes.join(hot, "key").withColumn("mine", mine).select(*names, "part", "key", "mine", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-            met = met.select(*names, "part", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
-            return out.unionByName(verified(met, bits, distance, ratio))
+            return out.unionByName(block_links(probes, hot, bits, distance, bucket_limit))
         if all(len(group) <= 2 * distance + 2 for group in left.values()):  # no more than a few members differ
-            return out.unionByName(verified(probes.join(hot, "key", "left_semi"), bits, distance, ratio))
+            return out.unionByName(verified(probes.join(hot, "key", "left_semi"), bits, distance))
         split, nxt = {}, {}
         for k, group in left.items():
             split[k] = []
@@ -302,13 +296,90 @@ def links(distinct: DataFrame, bits: int, distance: int, bucket_limit: int = 819
         used = nxt
 
 
+def cold_links(probes: DataFrame, bits: int, distance: int, bucket_limit: int, ratio: float = 0.0) -> tuple[DataFrame, DataFrame | None]:
+    """Links within the buckets of up to bucket_limit members, and (key, n) of the larger ones; None if there are none."""
+    hot = materialise(probes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_limit), "simhash-hot")
+    if hot.isEmpty():
+        return verified(probes, bits, distance, ratio), None
+    return verified(probes.join(hot, "key", "left_anti"), bits, distance, ratio), hot
+
+
+def block_links(probes: DataFrame, hot: DataFrame, bits: int, distance: int, bucket_limit: int, ratio: float = 0.0) -> DataFrame:
+    """Links within the hot buckets: blocks of each meet two by two."""
+    names = parts_of(bits) + ["size", "sig"] * (ratio > 0)
+    blocks = F.ceil(F.col("n") * 2 / bucket_limit).cast("int")
+    mine = F.pmod(F.xxhash64(*names), blocks.cast("bigint")).cast("int")
+    met = probes.join(hot, "key").withColumn("mine", mine).select(*names, "key", "mine", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    met = met.select(*names, F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
+    return verified(met, bits, distance, ratio)
+
+
+def frequent_shingles(texts: DataFrame) -> np.ndarray:
+    """Shingles that stand in many texts, the most frequent one last; from COUNTED texts, chosen by hash."""
+    one_in = max(1, texts.count() // COUNTED)
+    some = texts.where(F.pmod("text_hash", F.lit(one_in)) == 0).select(F.explode("shingles").alias("s"))
+    counts = some.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+    return counts.orderBy(F.desc("n"), "s").limit(TOLD).select("s").toArrow().column(0).to_numpy()[::-1].astype(np.int32)
+
+
+def first_in_order(flat: np.ndarray, counts: np.ndarray, frequent: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, index into flat) of the first shingles of each set: n - ceil(similarity * n) + 1 of n.
+
+    The order is: those not in frequent by hash (as they stand in flat), then those in it, as they stand there.
+    """
+    wanted = np.minimum(counts - np.ceil(similarity * counts - 1e-9).astype(np.int64) + 1, counts)
+    row = np.repeat(np.arange(len(counts)), counts)
+    level = np.full(len(flat), -1)
+    if len(frequent):
+        order = np.argsort(frequent)
+        at = order[np.minimum(np.searchsorted(frequent, flat, sorter=order), len(order) - 1)]
+        level = np.where(frequent[at] == flat, at, -1)
+    rare, usual = np.flatnonzero(level < 0), np.flatnonzero(level >= 0)
+    usual = usual[np.lexsort((level[usual], row[usual]))]
+    rares = np.bincount(row[rare], minlength=len(counts))
+    nth = lambda at, n: np.arange(len(at)) - (np.cumsum(n) - n)[row[at]]
+    rare = rare[nth(rare, rares) < wanted[row[rare]]]
+    usual = usual[nth(usual, counts - rares) + rares[row[usual]] < wanted[row[usual]]]
+    chosen = np.concatenate((rare, usual))
+    return row[chosen], chosen
+
+
+def leading_shingles(texts: DataFrame, names: list[str], similarity: float) -> DataFrame:
+    """(names .., key): a row for each of the first shingles of each text.
+
+    Two sets of a and b members, a <= b, of at least that Jaccard similarity share s or more of either, s the
+    larger of similarity * a and similarity * b. So of a members sorted in any one order the first a - s + 1,
+    and of b the first b - s + 1, hold one in common: the first that they share. Frequent shingles come last in the
+    order, so that a bucket holds few texts unless they have little else.
+    """
+    frequent = frequent_shingles(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(names))
+            flat = lists.flatten().to_numpy()
+            row, chosen = first_in_order(flat, np.diff(lists.offsets.to_numpy()).astype(np.int64), frequent, similarity)
+            own = pa.array(row)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(own) for i in range(len(names))), pa.array(flat[chosen])], [*names, "key"])
+
+    kinds = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in names)
+    return texts.select(*names, "shingles").mapInArrow(frugal(run, 256), f"{kinds}, key int")
+
+
+def shingle_links(probes: DataFrame, bits: int, distance: int, similarity: float, bucket_limit: int = 8192) -> DataFrame:
+    """(a, b) as links() has them, from leading_shingles(): they connect all texts of that similarity that lie within `distance` bits."""
+    probes = probes.withColumn("key", F.col("key").cast("bigint"))
+    found, hot = cold_links(probes, bits, distance, bucket_limit, similarity)
+    return found if hot is None else found.unionByName(block_links(probes, hot, bits, distance, bucket_limit, similarity))
+
+
 def node(names: list[str], prefix: str = "") -> Column:
     """The number of a fingerprint (and size): itself if it is one of 64 bits alone, else a hash."""
     return F.col(prefix + names[0]) if len(names) == 1 else F.xxhash64(*[F.col(prefix + c) for c in names])
 
 
-def verified(probes: DataFrame, bits: int, distance: int, ratio: float) -> DataFrame:
-    """Links within the buckets of equal keys. Buckets stream by in the order of their keys; a task holds ROWS_AT_ONCE rows and one bucket."""
+def verified(probes: DataFrame, bits: int, distance: int, ratio: float = 0.0) -> DataFrame:
+    """Links within the buckets of equal keys; with a ratio, probes have columns size and sig too, and only pairs that these allow are linked. Buckets stream by in the order of their keys; a task holds ROWS_AT_ONCE rows and one bucket."""
     names, sized = parts_of(bits), ratio > 0
     every = names + ["size", "sig"] * sized
     ends = [f"{side}{c}" for side in "ab" for c in every]
@@ -362,19 +433,98 @@ def near_duplicate_groups(docs: DataFrame, width: int = 3, distance: int = 2, bi
     return prints.join(groups, "node").select("doc_id", hexed, "component_id")
 
 
-def alike(a: Column, b: Column, similarity: float) -> Column:
-    """Whether the Jaccard similarity of two sets is at least that; two empty ones are alike."""
-    fits = F.least(F.size(a), F.size(b)) >= F.lit(similarity) * F.greatest(F.size(a), F.size(b)) - 1e-9
-    both = F.size(F.array_intersect(a, b))
-    return F.when(fits, both >= F.lit(similarity) * (F.size(a) + F.size(b) - both) - 1e-9).otherwise(False)
+class ShingleIndex:
+    """Sets of shingles, to be compared with further ones."""
+
+    def __init__(self, flat: np.ndarray, counts: np.ndarray):
+        order = np.argsort(flat, kind="stable")
+        self.values, self.owners, self.counts = flat[order], np.repeat(np.arange(len(counts)), counts)[order], counts
+
+    def alike(self, shingles: np.ndarray, similarity: float) -> np.ndarray:
+        """Of which sets the Jaccard similarity to these shingles is at least that; two empty ones are alike."""
+        low = np.searchsorted(self.values, shingles)
+        n = np.searchsorted(self.values, shingles, "right") - low
+        met = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(self.owners[met], minlength=len(self.counts))
+        return both >= similarity * (self.counts + len(shingles) - both) - 1e-9
+
+
+def sets_of(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The members of all sets, and the number of each."""
+    return lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+
 
+def lead(ranked: DataFrame, similarity: float) -> DataFrame:
+    """(root, text, shingles) of each group's texts, taken in order of `first`, that are not alike to one taken before."""
 
-def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance: int = 26, bits: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []  # texts and shingles of one group, which LEADERS and LEADING bound
+
+        def taken() -> pa.RecordBatch:
+            sets = [x for _, x in held]
+            index = ShingleIndex(np.concatenate(sets), np.array([len(x) for x in sets]))
+            chosen: list[int] = []
+            for i, x in enumerate(sets):
+                if not chosen or not index.alike(x, similarity)[chosen].any():
+                    chosen.append(i)
+            ends = pa.array(np.cumsum([0, *(len(sets[i]) for i in chosen)]), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([sets[i] for i in chosen])))
+            return pa.RecordBatch.from_arrays([pa.array([at] * len(chosen), pa.int64()), pa.array([held[i][0] for i in chosen], pa.int64()), lists], ["root", "text", "shingles"])
+
+        for batch in batches:
+            flat, counts = sets_of(batch.column(2))
+            for root, text, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), np.split(flat, np.cumsum(counts)[:-1])):
+                if root != at and held:
+                    yield taken()
+                    held = []
+                at = root
+                held.append((text, x))
+        if held:
+            yield taken()
+
+    dealt = ranked.repartition("root").sortWithinPartitions("root", "first").select("root", "first.text", "shingles")
+    return dealt.mapInArrow(frugal(run, 256), "root bigint, text bigint, shingles array<int>")
+
+
+def meet(left: DataFrame, led: DataFrame, similarity: float) -> DataFrame:
+    """left without its leaders, and shingles null where a text is alike to a leader of its group: these go. led has a row for each part of a group."""
+    member = left.select("root", "salt", F.lit(1).alias("member"), F.col("first.text").alias("text"), "first", "shingles")
+    leader = led.select("root", "salt", F.lit(0).alias("member"), "text", F.lit(None).cast(left.schema["first"].dataType).alias("first"), "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, index, names = None, [], None, set()
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
+            ends = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for a, b in zip(ends, ends[1:]):
+                part, (root, salt, is_member) = batch.slice(a, b - a), keys[a].tolist()
+                if at != (root, salt):
+                    at, held, index, names = (root, salt), [], None, set()
+                flat, counts = sets_of(part.column(5))
+                texts = part.column(3).to_pylist()
+                if not is_member:
+                    held.append((flat, counts))
+                    names.update(texts)
+                    continue
+                if index is None:
+                    index = ShingleIndex(*(np.concatenate(x) for x in zip(*held)))
+                sets = np.split(flat, np.cumsum(counts)[:-1])
+                rest = [i for i, t in enumerate(texts) if t not in names]
+                stays = pa.array([None if index.alike(sets[i], similarity).any() else i for i in rest], pa.int64())
+                own = part.take(pa.array(rest, pa.int64()))
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), own.column(4), part.column(5).take(stays)], ["root", "salt", "first", "shingles"])
+
+    dealt = leader.unionByName(member).repartition("root", "salt").sortWithinPartitions("root", "salt", "member")
+    return dealt.mapInArrow(frugal(run, 256), f"root bigint, salt bigint, first {left.schema['first'].dataType.simpleString()}, shingles array<int>")
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance: int = 40, bits: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that are near duplicates of a row that stays; all columns stay.
 
-    Candidates are the groups of texts whose fingerprints (128 bits over five-word shingles) are linked
-    by at most `distance` differing bits and whose numbers of distinct shingles, and the 64 bits that these
-    fall on, allow the similarity.
+    Candidates are the groups of texts that are linked by a shingle among their first ones (see
+    leading_shingles: all pairs of that similarity have one), by fingerprints (128 bits over five-word shingles)
+    of at most `distance` differing bits, and by numbers of distinct shingles, and the 64 bits that these fall on,
+    that allow the similarity. The pairs looked at grow with the texts that share a rare shingle, not with the square of the table.
     Within a group the text of the least id (in a tie, or where ids are null, of the least hash) leads:
     it stays, and every text whose set of shingles has a Jaccard similarity of at least `similarity` to
     the leader's goes; of what is left the least id leads next, until nothing is left. So a row goes
@@ -384,7 +534,7 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance:
 
     Of equal texts one row stays, that of the least id. Null and empty texts (no shingles) are alike;
     a null text and an empty one count as two texts with one set. Null ids and ids that repeat with unlike texts
-    are as good as others. Repeated rows leave one. An empty table gives an empty one. Pairs whose
+    are as good as others. Repeated rows leave one. An empty table gives an empty one. Pairs of that similarity whose
     fingerprints differ in more bits are not found: see the README for the measured recall.
     """
     names = [*parts_of(bits), "size", "sig"]
@@ -393,8 +543,9 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance:
     # One row for each distinct text, reduced before the shuffle: copies, however many, go no further.
     texts = prints.groupBy("text_hash", "node", *names).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"), F.first("shingles").alias("shingles"))
     texts = materialise(texts, "simhash-texts")
-    nodes = materialise(texts.select("node", *names).distinct(), "simhash-nodes")
-    found = connected_components(links(nodes.select(*names), bits, distance, ratio=similarity), "simhash")
+    probes = materialise(leading_shingles(texts, names, similarity), "simhash-probes")
+    found = connected_components(shingle_links(probes, bits, distance, similarity), "simhash")
+    discard(probes)
     placed = texts.select("node").join(found, "node", "left").select(F.coalesce("root", "node").alias("root"))
     sizes = materialise(placed.groupBy("root").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "simhash-sizes")
     salt = F.pmod(F.xxhash64("text_hash"), F.ceil(F.col("k") / GROUP_SPLIT).cast("bigint"))
@@ -406,14 +557,9 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance:
         in_order = Window.partitionBy("root").orderBy("first")
         ranked = left.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= LEADERS)
         ranked = ranked.withColumn("held", F.sum(F.size("shingles")).over(in_order)).where((F.col("held") <= LEADING) | (F.col("rank") == 1))
-        listed = ranked.groupBy("root").agg(F.sort_array(F.collect_list(F.struct("first", "shingles"))).alias("some"))
-        none = F.slice("some", 1, 0)
-        led = listed.select("root", F.aggregate("some", none, lambda taken, x: F.when(F.exists(taken, lambda y: alike(x["shingles"], y["shingles"], similarity)), taken).otherwise(F.concat(taken, F.array(x)))).alias("lead"))
-        salts = left.groupBy("root").agg(F.max("salt").alias("last"))
-        led = led.join(salts, "root").select("root", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("salt"), "lead")
-        like = F.exists("lead", lambda x: alike(F.col("shingles"), x["shingles"], similarity))
-        met = left.join(led, ["root", "salt"]).where(~F.exists("lead", lambda x: x["first"] == F.col("first")))
-        met = materialise(met.select("root", "salt", "first", F.when(~like, F.col("shingles")).alias("shingles")), "simhash-met")
+        salts = left.select("root", "salt").distinct()
+        led = lead(ranked, similarity).join(salts, "root")
+        met = materialise(meet(left, led, similarity), "simhash-met")
         rounds.append(met)
         left = met.where("shingles is not null")
     kept = texts.select("text_hash", "first", "n")
@@ -421,7 +567,7 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, distance:
         gone = reduce(DataFrame.unionByName, [met.where("shingles is null").select(F.col("first.text").alias("text_hash")) for met in rounds])
         kept = kept.join(gone, "text_hash", "left_anti")
     kept = materialise(kept.select(F.col("first.id").alias("__id"), F.col("text_hash").alias("__text"), "n"), "simhash-kept")
-    discard(texts, nodes, found, sizes, opened, *rounds)
+    discard(texts, found, sizes, opened, *rounds)
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(f"`{text_col}`") == F.col("__text"))
     stay = docs.join(kept.where("n = 1").select("__id", "__text"), same, "left_semi")
     copied = kept.where("n > 1").select("__id", "__text")

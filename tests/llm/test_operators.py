@@ -324,6 +324,44 @@ def test_keep_one_against_brute_force(spark):
     assert kept[rows[0][1]] is not None if rows[0][1] in kept else True
 
 
+def test_first_shingles_meet():
+    """Two sets of a similarity of 0.8 or more have a common one among their first, whichever are frequent."""
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(1, 40))
+        a = rng.choice(200, n, replace=False)
+        b = np.concatenate((a[: n - int(rng.integers(0, n // 5 + 1))], 200 + np.arange(int(rng.integers(0, n // 5 + 1)))))
+        sets = [np.sort(a).astype(np.int32), np.sort(b).astype(np.int32)]
+        frequent = rng.choice(240, int(rng.integers(0, 100)), replace=False).astype(np.int32)
+        flat, counts = np.concatenate(sets), np.array([len(x) for x in sets])
+        row, at = simhash.first_in_order(flat, counts, frequent, 0.8)
+        assert (np.bincount(row, minlength=2) == counts - np.ceil(0.8 * counts - 1e-9) + 1).all()
+        if len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b)):
+            assert set(flat[at[row == 0]]) & set(flat[at[row == 1]])
+
+
+def test_buckets_do_not_grow_with_a_frequent_line(spark):
+    """Texts that have a line of 12 words in common, and else nothing, do not meet; nor do any in over 26 bits."""
+    rng = np.random.default_rng(6)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))
+    line = words(12)
+    frame = spark.createDataFrame([(i, f"{words(30)} {line} {words(30)}") for i in range(400)], "doc_id long, text string")
+    made = simhash.fingerprints(frame, 5, 128, with_shingles=True)
+    keys = simhash.leading_shingles(made, ["f0", "f1", "size", "sig"], 0.8).groupBy("key").count()
+    assert keys.agg(F.max("count")).first()[0] == 1
+    assert simhash.keep_one(frame).count() == 400
+
+
+def test_keep_one_of_short_texts(spark):
+    """Nine words against the first eight of them: a similarity of 4 in 5, whatever the fingerprints say."""
+    rows = []
+    for g in range(40):
+        own = [f"g{g}w{k}" for k in range(9)]
+        rows += [(2 * g, " ".join(own)), (2 * g + 1, " ".join(own[:8]))]
+    kept = sorted(r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept == list(range(0, 80, 2))
+
+
 def test_leaders_of_a_split_group(spark, monkeypatch):
     monkeypatch.setattr(simhash, "GROUP_SPLIT", 4)
     monkeypatch.setattr(simhash, "LEADERS", 2)
