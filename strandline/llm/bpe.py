@@ -1,21 +1,23 @@
 """Byte-level BPE encoding and decoding by a traversal of a trie of distinct words.
 
-The distinct words of a batch are inserted into a trie of bytes. A depth-first walk gives every node
+The distinct words of a batch form a trie of bytes; sorted, they are its depth-first walk, as each goes on
+from the node where it parts from the one before. The walk gives every node
 the last token of the encoding of the prefix that it stands for. That token is the only vocabulary
 entry t ending there whose join with the last token of the remaining prefix is stable, that is, whose
-two tokens BPE leaves as they are. A word's ids are read off by stepping back from its node, so the
+two tokens BPE leaves as they are. The entries that end at a node, longest first, are the output of an
+Aho-Corasick automaton over the vocabulary. A word's ids are read off by stepping back from its node, so the
 encoding of a prefix that many words share is computed once.
 """
 
 from __future__ import annotations
 
 import functools
-import gc
 import hashlib
 import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -27,6 +29,8 @@ from .common import frugal
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Bytes of two neighbours in order that are compared for a common prefix, and steps of the automaton that are held.
+COMPARED, STEPS = 16, 400_000
 #: Texts of the first 0x250 code points, without the controls 0x1C-0x1F, take the faster library.
 WESTERN = re.compile("[\\x00-\\x1b\\x20-\\u024f]*")
 
@@ -76,19 +80,41 @@ class TrieEncoder:
             self.left[whole], self.right[whole] = grown(self.left[x]), grown(self.right[y])
         # Only entries that BPE itself builds can end a prefix.
         self.ids = {b: i for b, i in ids.items() if i in good}
-        # The entries spelt backwards as a transition table: state * 256 + byte -> state; ends: state -> id.
-        self.back: dict[int, int] = {}
-        self.ends: list[int] = [-1]
+        # The automaton: child[state << 8 | byte] -> state, the state of the longest proper suffix, and the entries
+        # (length, id) that end in a state, longest first.
+        self.child: dict[int, int] = {}
+        own: list[int] = [-1]
         for entry, i in self.ids.items():
             state = 0
-            for b in reversed(entry):
-                nxt = self.back.get(state << 8 | b)
+            for b in entry:
+                nxt = self.child.get(state << 8 | b)
                 if nxt is None:
-                    nxt = self.back[state << 8 | b] = len(self.ends)
-                    self.ends.append(-1)
+                    nxt = self.child[state << 8 | b] = len(own)
+                    own.append(-1)
                 state = nxt
-            self.ends[state] = i
-        self.stable: dict[tuple[int, int], bool] = {}
+            own[state] = i
+        self.suffix = [0] * len(own)
+        self.entries: list[tuple[tuple[int, int], ...]] = [()] * len(own)
+        level = [(0, b, self.child[b]) for b in range(256)]
+        below: dict[int, list[tuple[int, int, int]]] = {}
+        for key, state in self.child.items():
+            below.setdefault(key >> 8, []).append((key >> 8, key & 255, state))
+        depth = 1
+        while level:
+            for parent, b, state in level:
+                if parent:
+                    self.suffix[state] = self._after(self.suffix[parent], b)
+                ends = self.entries[self.suffix[state]]
+                self.entries[state] = ((depth, own[state]), *ends) if own[state] >= 0 else ends
+            level = [x for _, _, state in level for x in below.get(state, ())]
+            depth += 1
+        # What walks meet of it: byte -> the next of these, -1 -> the entries, -2 -> the state.
+        self.met: dict[int, dict] = {}
+        self.steps = 0
+        self.shown = {i: str(i) for i in self.token}
+        self.size = {i: len(b) for i, b in self.token.items()}
+        self.stable: dict[int, dict[int, bool]] = {}  # left -> right -> whether the two stay as they are
+        self.pairs = 0
         self.words: dict[str, str] = {}
         self.odd: dict[str, str] = {}  # words whose decoded form is another string
         self.cache_words = cache_words
@@ -115,64 +141,68 @@ class TrieEncoder:
         return False
 
     def _is_stable(self, left: int, right: int) -> bool:
-        known = self.stable.get((left, right))
-        if known is None:
-            if len(self.stable) > 250_000:
-                self.stable.clear()
-            known = self.stable[left, right] = not self._crosses(left, right)
+        if self.pairs > 250_000:
+            self.stable.clear()
+            self.pairs = 0
+        self.pairs += 1
+        known = self.stable.setdefault(left, {})[right] = not self._crosses(left, right)
         return known
 
+    def _after(self, state: int, b: int) -> int:
+        """The state after one more byte: the longest suffix of what was read that begins an entry."""
+        while (nxt := self.child.get(state << 8 | b)) is None:
+            state = self.suffix[state]  # in state 0 every byte has a child
+        return nxt
+
+    def _node(self, state: int) -> dict:
+        found = self.met.get(state)
+        if found is None:
+            found = self.met[state] = {-1: self.entries[state], -2: state}
+        return found
+
+    def _step(self, node: dict, b: int) -> dict:
+        if self.steps >= STEPS:
+            self.met.clear()
+            self.steps = 0
+        self.steps += 1
+        nxt = node[b] = self._node(self._after(node[-2], b))
+        return nxt
+
     def encode_words(self, words: set[str]) -> None:
         """Give every word of the set its ids, by one walk over their trie."""
-        collecting = gc.isenabled()
-        gc.disable()  # the walk makes no cycles; a trie of a million small dicts is slow to scan
-        root: dict = {}
-        for word in words:
-            node = root
-            for b in word.encode("utf-8", "surrogatepass"):
-                nxt = node.get(b)
-                if nxt is None:
-                    nxt = node[b] = {}
-                node = nxt
-            node[-1] = word
-        path, last = bytearray(), [(-1, 0)]  # last[i]: last token of path[:i] and its length
-        todo = [(child, b, 1) for b, child in root.items() if b >= 0]
-        back, ends, stable = self.back, self.ends, self.stable
-        while todo:
-            node, b, depth = todo.pop()
-            del path[depth - 1 :], last[depth:]
-            path.append(b)
-            state, start, found = 0, depth, []
-            while start:  # every vocabulary entry that ends here, shortest first
-                state = back.get(state << 8 | path[start - 1])
-                if state is None:
-                    break
-                start -= 1
-                if ends[state] >= 0:
-                    found.append((start, ends[state]))
-            for start, t in reversed(found):
-                if start == 0:
-                    break
-                pair = (last[start][0], t)
-                known = stable.get(pair)
-                if known if known is not None else self._is_stable(*pair):
-                    break
-            last.append((t, depth - start))
-            for key, child in node.items():
-                if key == -1:
-                    out, at = [], depth
-                    while at:
-                        t, size = last[at]
-                        out.append(t)
-                        at -= size
-                    out.reverse()
-                    self.words[child] = ",".join(map(str, out))
-                    if (decoded := b"".join(map(self.token.__getitem__, out)).decode("utf-8", "replace")) != child:
-                        self.odd[child] = decoded
-                else:
-                    todo.append((child, key, depth + 1))
-        if collecting:
-            gc.enable()
+        coded = sorted((word.encode("utf-8", "surrogatepass"), word) for word in words)
+        # How many bytes each has in common with the one before, or fewer.
+        heads = np.array([code[:COMPARED] for code, _ in coded], f"S{COMPARED}").view(np.uint8).reshape(-1, COMPARED)
+        alike = np.logical_and.accumulate(heads[1:] == heads[:-1], axis=1).sum(axis=1)
+        sizes = np.array([len(code) for code, _ in coded])
+        common = [0, *np.minimum(alike, np.minimum(sizes[1:], sizes[:-1])).tolist()]
+        # Of the prefix of each length: its last token, what is known of that on the left of others, and the automaton's node.
+        last, beside, nodes = [-1], [{}], [self._node(0)]
+        stable, token, shown, size = self.stable, self.token, self.shown, self.size
+        for (code, word), depth in zip(coded, common):
+            del last[depth + 1 :], beside[depth + 1 :], nodes[depth + 1 :]
+            node = nodes[depth]
+            for b in code[depth:]:
+                depth += 1
+                node = node.get(b) or self._step(node, b)
+                for length, t in node[-1]:
+                    if length == depth:
+                        break
+                    known = beside[depth - length].get(t)
+                    if known if known is not None else self._is_stable(last[depth - length], t):
+                        break
+                last.append(t)
+                beside.append(stable.get(t) or stable.setdefault(t, {}))
+                nodes.append(node)
+            out = []
+            while depth:
+                t = last[depth]
+                out.append(t)
+                depth -= size[t]
+            out.reverse()
+            self.words[word] = ",".join([shown[t] for t in out])
+            if (decoded := b"".join([token[t] for t in out]).decode("utf-8", "replace")) != word:
+                self.odd[word] = decoded
 
     def encode_many(self, texts: list[str]) -> list[tuple[str, str]]:
         """Per text: its ids as decimals joined by commas, and the text decoded from them."""

@@ -799,3 +799,26 @@ def test_bpe_any_text(text):
 def test_fold_rule(spark):
     rows = spark.range(50).select("id", queries.crc_fold("id", 4).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 4 for r in rows)
+
+
+def test_entries_that_end_at_each_byte():
+    """What one step a byte gives: all vocabulary entries that end there, longest first."""
+    e = bpe.encoder_for(PATH)
+    code = "the interested Überraschung 日本 \x00\x1f\n\n    unbelievablely".encode()
+    node = e._node(0)
+    for k, b in enumerate(code, 1):
+        node = node.get(b) or e._step(node, b)
+        want = [(k - i, e.ids[code[i:k]]) for i in range(k) if code[i:k] in e.ids]
+        assert list(node[-1]) == want
+
+
+def test_words_that_part_anywhere(monkeypatch):
+    """Sorted words go on from the one before: prefixes of one another, zero bytes, surrogates, and caches that are emptied meanwhile."""
+    monkeypatch.setattr(bpe, "STEPS", 50)
+    e, known = bpe.TrieEncoder(PATH), Tokenizer.from_file(PATH)
+    words = ["a", "a\x00", "a\x00\x00", "ab", "x" * 15, "x" * 16, "x" * 17, "x" * 17 + "\x00", "x" * 40 + "y", "x" * 40 + "z", "ä", "ö", " interesting", " interested", " interest"]
+    e.encode_words(set(words))
+    for w in words:
+        assert e.words[w] == ",".join(map(str, known.encode(w, add_special_tokens=False).ids))
+    e.encode_words({"a\ud800"})
+    assert e.odd["a\ud800"] != "a\ud800"
