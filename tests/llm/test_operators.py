@@ -146,6 +146,29 @@ def test_recall_of_fuzzy_passages(spark, least, rate):
     assert all(max(p) - min(p) == 1 and min(p) % 2 == 0 for p in pairs) and len(pairs) >= least * 60
 
 
+def test_stretches_and_windows():
+    """Words cut by one split are those of a search, and seeds those of a plain look at every window."""
+    for text in ("", " ", "one", " one,two  three-\u00e4\u00f6 \n x", "a" * 50, "...", "last. "):
+        words, size, gap = passages.words_of(text)
+        found = [(m.group(), m.start(), m.end()) for m in passages.WORD.finditer(text)]
+        end = np.cumsum(size + gap)
+        assert [(w, int(e - n), int(e)) for w, n, e in zip(words, size, end)] == found
+        for i in range(len(found)):
+            for j in range(i + 1, len(found) + 1):
+                assert passages.span(found[0][1], size, gap, i, j) == (found[i][1], found[j - 1][2])
+    rng = np.random.default_rng(8)
+    for n in (16, 17, 40, 300):
+        for most in (3, 10**6):
+            h = rng.integers(0, most, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            for window in (1, 2, 5, 12):
+                got = passages.seeds(h, 1, window)[1]
+                g = h.copy()
+                g ^= g >> np.uint64(29)
+                g *= np.uint64(0xBF58476D1CE4E5B9)
+                g ^= g >> np.uint64(32)
+                assert got.tolist() == sorted({i + int(g[i : i + window].argmin()) for i in range(n - window + 1)})
+
+
 def test_chain_is_best():
     a, b = np.array([0, 5, 10, 20, 30]), np.array([100, 105, 7, 120, 130])
     assert passages.chains(a, b)[0] == [0, 1, 3, 4]
